@@ -55,9 +55,9 @@ def is_alphanumeric(token: Column) -> Column:
 def pair_parts(sentence: Column) -> tuple[Column, Column]:
     """Split ``a ||| b`` at the last separator; without one, ``a`` is the sentence and ``b`` NULL.
 
-    As a dot does not match a line break, text with one inside a part has no separator.
+    Neither part may hold a line break.
     """
-    pattern = r"^(.*) \|\|\| (.*)$"
+    pattern = r"^([^\n]*) \|\|\| ([^\n]*)\n?\z"
     hit = sentence.rlike(pattern)
     return (
         F.when(hit, F.regexp_extract(sentence, pattern, 1)).otherwise(sentence),

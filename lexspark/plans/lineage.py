@@ -26,12 +26,18 @@ def shared_folder(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a DataFrame reliably; the result survives the loss of any executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder for a table written and read back."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    The result survives the loss of any executor, and its plan starts anew at a scan of known
+    size. Loops need the latter too: a checkpointed DataFrame hands on the constraints of its
+    old plan, which multiply from round to round.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

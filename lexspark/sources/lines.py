@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.text import first_field, trim_space
 from lexspark.operators.ranking import top_k
+from lexspark.plans.lineage import cut_lineage
 
 TOPN_TITLES = 100_000
 FILES_TO_READ = 50
@@ -87,7 +88,7 @@ def first_titles(spark: SparkSession, path: str, n: int = TOPN_TITLES) -> DataFr
 
     Reading ends where the ``n``-th title appears, so repeats after it do not change counts.
     """
-    rows = _weights(spark, path)
+    rows = cut_lineage(_weights(spark, path))
     seen = rows.groupBy("title").agg(F.min("ord").alias("first"))
     last = (
         top_k(seen.withColumn("_all", F.lit(1)), ["_all"], [F.asc("first")], n)
