@@ -58,10 +58,13 @@ def occurrences_of(
     """
     lowered = text.lower_all(F.col("tokens"))
     with_word = sents.where(F.arrays_overlap(lowered, F.array(*[F.lit(w) for w in words])))
-    scored = corpus.scored_tokens(with_word, ["title", "sentence", "tokens"]).where(
-        F.col("word").isin(*words)
+    wanted = F.col("word").isin(*words)
+    requested = sents.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    ranked = ranking.top_examples(
+        corpus.scored_tokens(with_word).where(wanted),
+        corpus.scored_tokens(with_word, ["title", "sentence", "tokens"]).where(wanted),
+        requested, k,
     )
-    ranked = ranking.top_k(scored, ["word"], ranking.example_order(), k)
     if encoder is None:
         encoded = vectors.context_vectors(vectors.context_around(ranked, width), width)
     else:
