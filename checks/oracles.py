@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.tables import MIN_COUNT, STOP_LIST, TOP, USAGE_WORD, WORDS
+from lexspark.operators.ranking import OUTPUTS_PER_WORD
 from lexspark.functions.vectors import LAYER_WIDTHS
 
 TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -215,7 +216,12 @@ ORACLES = {
     "sink_features": _with(f"""
         SELECT unique_id AS linex_index, sentence AS original_sentence,
                len([x FOR x IN regexp_extract_all(sentence, '{TOKEN}') IF lower(x) = word]) AS n_features
-        FROM inputs""", "inputs"),
+        FROM (SELECT *, word || '-' || (row_number() OVER (PARTITION BY word ORDER BY
+                  score DESC, sentence DESC, title DESC, doc_id, sent_id, tok_id) - 1) AS unique_id
+              FROM scored WHERE word IN ({_list(WORDS)})
+              QUALIFY row_number() OVER (PARTITION BY word ORDER BY
+                  score DESC, sentence DESC, title DESC, doc_id, sent_id, tok_id) <= {OUTPUTS_PER_WORD})
+        """, "scored"),
     "features_by_word": _with(
         "SELECT word, count(*) AS n_records FROM examples GROUP BY word", "examples"),
     "token_text": _with(f"""

@@ -176,7 +176,7 @@ def src_feature_jsonl(t):
 def _requested_records(t: Tables) -> DataFrame:
     rows = t.sentences().select(
         F.concat_ws("-", "doc_id", "sent_id").alias("unique_id"), "sentence",
-        text.lower_all(F.col("tokens")).alias("tokens"),
+        F.col("words").alias("tokens"),
     ).where(F.arrays_overlap("tokens", F.array(*[F.lit(w) for w in WORDS])))
     return vec_ops.feature_records(rows, WORDS)
 
@@ -184,10 +184,9 @@ def _requested_records(t: Tables) -> DataFrame:
 @query
 def sink_features(t):
     path = t.scratch("features")
-    inputs = t.example_inputs().withColumn(
+    inputs = t.requested_inputs().withColumn(
         "tokens", text.lower_all(text.split_tokens(F.col("sentence")))
     )
-    # the word column is the folder name when read back
     feature_files.write_features(vec_ops.feature_records(inputs, None, own_word="word"), path)
     return feature_files.read_features(t.spark, path).select(
         "linex_index", "original_sentence", F.size("features").cast("bigint").alias("n_features")
@@ -237,8 +236,7 @@ def vocab_occurrences(t):
 
 @query
 def filter_word(t):
-    lowered = text.lower_all(F.col("tokens"))
-    hit = t.parsed().where(F.array_contains(lowered, USAGE_WORD))
+    hit = t.parsed().where(F.array_contains("words", USAGE_WORD))
     return corpus.scored_tokens(hit, ["title"]).where(F.col("word") == USAGE_WORD).select(
         "title", "sent_id", "tok_id", "word", _r9("score")
     )
@@ -257,7 +255,7 @@ def word_list(t):
 def target_tokens(t):
     rows = t.sentences().select(
         F.concat_ws("-", "doc_id", "sent_id").alias("unique_id"),
-        text.lower_all(F.col("tokens")).alias("tokens"),
+        F.col("words").alias("tokens"),
     )
     return vec_ops.target_tokens(rows, "unique_id", WORDS)
 
@@ -275,9 +273,8 @@ def own_word_tokens(t):
 
 @query
 def explode_scored_words(t):
-    lowered = text.lower_all(F.col("tokens"))
     bundles = t.parsed().select("doc_id", "sent_id", F.zip_with(
-        lowered, corpus.simplicity_per_token(F.col("heads")),
+        "words", corpus.simplicity_per_token(F.col("heads")),
         lambda w, s: F.struct(w.alias("word"), F.round(s, 9).alias("score")),
     ).alias("bundle"))
     return bundles.select("doc_id", "sent_id", F.inline("bundle"))
@@ -376,7 +373,7 @@ def subwords(t):
 def token_ids(t):
     rows = t.sentences().select(
         F.concat_ws("-", "doc_id", "sent_id").alias("unique_id"),
-        text.lower_all(F.col("tokens")).alias("tokens"),
+        F.col("words").alias("tokens"),
     )
     return sequences.token_ids(rows, "unique_id", t.token_vocabulary()).select(
         "unique_id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids")
@@ -435,9 +432,9 @@ def tokenize_pairs(t):
 
 def _sparse(values):
     """Non-zero buckets as ``bucket:millionths``, in bucket order."""
-    return F.array_join(F.filter(F.transform(values, lambda v, i: F.when(
-        F.round(v * 1e6) != 0, F.concat_ws(":", i, F.round(v * 1e6).cast("bigint"))
-    )), lambda s: s.isNotNull()), " ")
+    return F.array_join(F.transform(values, lambda v, i: F.when(
+        v != 0, F.concat_ws(":", i, F.rint(v * 1e6).cast("bigint"))
+    )), " ")
 
 
 @query
@@ -451,7 +448,7 @@ def context_vectors(t):
 @query
 def vector_layers(t):
     wanted = t.sentences().where(F.arrays_overlap(
-        text.lower_all(F.col("tokens")), F.array(*[F.lit(w) for w in WORDS])
+        "words", F.array(*[F.lit(w) for w in WORDS])
     ))
     windows = vec_ops.context_windows(wanted, width=max(vectors.LAYER_WIDTHS.values())).where(
         F.col("word").isin(*WORDS)

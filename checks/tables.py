@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.operators import corpus, sequences, vocabulary
+from lexspark.operators.ranking import OUTPUTS_PER_WORD
 from lexspark.plans.lineage import cut_lineage, scratch_path
 from lexspark.plans.sizing import Lookup, spread
 
@@ -59,6 +60,16 @@ class Tables:
             self.examples(k).select("word", (F.col("rank") - 1).alias("n"), "sentence")
         )
 
+    def requested_inputs(self) -> DataFrame:
+        """All examples of the requested words, up to the default number per word."""
+        from lexspark.flows import best_sentences
+
+        words = Lookup(self.spark.createDataFrame([(w,) for w in WORDS], "word string"))
+        ranked = best_sentences(self.parsed(), words, OUTPUTS_PER_WORD)
+        return sequences.input_examples(
+            ranked.select("word", (F.col("rank") - 1).alias("n"), "sentence")
+        )
+
     def token_vocabulary(self) -> DataFrame:
         """Frequent words, single letters and their continuation forms, with ids."""
         words = self.frequent()

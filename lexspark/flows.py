@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.functions import text
 from lexspark.operators import corpus, density, layout, neighbours, ranking, vectors
 from lexspark.operators.tiles import TILE_ROWS
 from lexspark.operators.vocabulary import effective_vocabulary
@@ -56,13 +55,12 @@ def occurrences_of(
 
     Sentences without a requested word are dropped before they are scored.
     """
-    lowered = text.lower_all(F.col("tokens"))
-    with_word = sents.where(F.arrays_overlap(lowered, F.array(*[F.lit(w) for w in words])))
+    with_word = sents.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in words])))
     wanted = F.col("word").isin(*words)
     requested = sents.sparkSession.createDataFrame([(w,) for w in words], "word string")
     ranked = ranking.top_examples(
         corpus.scored_tokens(with_word).where(wanted),
-        corpus.scored_tokens(with_word, ["title", "sentence", "tokens"]).where(wanted),
+        corpus.scored_tokens(with_word, ["title", "sentence", "words"]).where(wanted),
         requested, k,
     )
     if encoder is None:
@@ -118,7 +116,7 @@ def word_usage(
 ) -> DataFrame:
     """Clustered rows of the requested words: how many distinct usages each has.
 
-    ``encoder`` replaces the default vectors by a model's: batches of (tokens, target position) in,
+    ``encoder`` replaces the default vectors by a model's: batches of (words, target position) in,
     vectors out.
     """
     points = cut_lineage(occurrences_of(sents, words, k, encoder=encoder))

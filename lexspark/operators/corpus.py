@@ -21,7 +21,10 @@ def keep_titles(articles: DataFrame, titles: DataFrame) -> DataFrame:
 
 
 def sentences(articles: DataFrame) -> DataFrame:
-    """(doc_id, title, article) -> one row per non-empty sentence with its tokens."""
+    """(doc_id, title, article) -> one row per non-empty sentence.
+
+    ``tokens`` are as written, ``words`` the same in lower case.
+    """
     return (
         articles.select(
             "doc_id", "title",
@@ -30,13 +33,14 @@ def sentences(articles: DataFrame) -> DataFrame:
         )
         .where(F.col("sentence").rlike(r"\S"))
         .withColumn("tokens", text.split_tokens(F.col("sentence")))
+        .withColumn("words", text.lower_all(F.col("tokens")))
     )
 
 
 def tokens(sents: DataFrame) -> DataFrame:
     """One row per token, lower-cased."""
     return sents.select(
-        "doc_id", "sent_id", F.posexplode(text.lower_all(F.col("tokens"))).alias("tok_id", "word")
+        "doc_id", "sent_id", F.posexplode("words").alias("tok_id", "word")
     )
 
 
@@ -46,9 +50,7 @@ def sentence_lengths(sents: DataFrame) -> DataFrame:
 
 def with_chain_heads(sents: DataFrame, stopwords: Sequence[str]) -> DataFrame:
     """Add the default tree as a ``heads`` column; parsed corpora bring their own."""
-    return sents.withColumn(
-        "heads", trees.chain_heads(text.lower_all(F.col("tokens")), stopwords)
-    )
+    return sents.withColumn("heads", trees.chain_heads(F.col("words"), stopwords))
 
 
 def with_parser(
@@ -87,7 +89,7 @@ def scored_tokens(
     """
     score = simplicity_per_token(F.col("heads")) if score is None else score
     zipped = F.zip_with(
-        text.lower_all(F.col("tokens")), score,
+        "words", score,
         lambda w, s: F.struct(w.alias("word"), s.alias("score")),
     )
     return sents.select(

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import first_field, trim_space
-from lexspark.operators.ranking import top_k
 from lexspark.plans.lineage import cut_lineage
 
 TOPN_TITLES = 100_000
@@ -90,10 +89,7 @@ def first_titles(spark: SparkSession, path: str, n: int = TOPN_TITLES) -> DataFr
     """
     rows = cut_lineage(_weights(spark, path))
     seen = rows.groupBy("title").agg(F.min("ord").alias("first"))
-    last = (
-        top_k(seen.withColumn("_all", F.lit(1)), ["_all"], [F.asc("first")], n)
-        .agg(F.max("first").alias("last"))
-    )
+    last = seen.orderBy("first").limit(n).agg(F.max("first").alias("last"))
     # one row: the place where reading ends
     return (
         rows.join(F.broadcast(last), F.col("ord") <= F.col("last"))
