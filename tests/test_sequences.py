@@ -109,6 +109,19 @@ def test_context_vectors(spark):
             assert r["vec"] == pytest.approx(plain_vector(words, r["tok_id"], width), abs=2e-6)
 
 
+def test_batches_and_expression_agree(spark):
+    sents = spark.createDataFrame([(1, 0, WORDS * 3)], "doc_id bigint, sent_id int, words array<string>")
+    around = F.col("around")
+    rows = vectors.context_windows(sents, 40).select(
+        V.hashed(around, list(V.LAYER_WIDTHS.values())).alias("batch"),
+        V.layers(around, list(V.LAYER_WIDTHS), 40)["values"].alias("expression"),
+    ).collect()
+    assert len(rows) == 3 * len(WORDS)
+    for r in rows:
+        for one, other in zip(r["batch"], r["expression"], strict=True):
+            assert one == pytest.approx(other, abs=1.1e-6)
+
+
 def test_layers_and_feature_records(spark):
     sents = spark.createDataFrame([(1, 0, WORDS)], "doc_id bigint, sent_id int, words array<string>")
     windows = vectors.context_windows(sents, 40)
