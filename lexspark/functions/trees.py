@@ -56,7 +56,7 @@ def chain_heads(tokens: Column, stopwords: Sequence[str]) -> Column:
 
 def _climb(heads: Column, start: Column, step: Callable[[Column], Column]) -> Column:
     """Pointer doubling: after r rounds every token has seen its 2^r nearest ancestors."""
-    rounds = F.ceil(F.log2(F.greatest(F.size(heads), F.lit(1)))).cast("int") + 1
+    rounds = F.ceil(F.log2(F.greatest(F.size(heads), F.lit(2)))).cast("int")
     return F.aggregate(F.sequence(F.lit(1), rounds), start, lambda state, _: step(state))
 
 
