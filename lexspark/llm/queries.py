@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import quality
+from lexspark.llm import quality, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +26,8 @@ def op1_quality_perplexity(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lang", "perplexity", "lower", "upper",
     )
+
+
+@query
+def op8_simhash_pigeonring(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
