@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import quality, simhash
+from lexspark.llm import mixing, quality, rendezvous, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,19 @@ def op1_quality_perplexity(spark, sf_dir):
 @query
 def op8_simhash_pigeonring(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_mixing_thresholds(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_mixing_thresholds"] = mixing.ORACLE
+
+
+@query
+def op5_rendezvous_shards(spark, sf_dir):
+    return rendezvous.shard_rows(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_rendezvous_shards"] = rendezvous.ORACLE
