@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import mixing, quality, rendezvous, simhash
+from lexspark.llm import decontamination, mixing, quality, rendezvous, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,9 @@ def op5_rendezvous_shards(spark, sf_dir):
 
 
 ORACLES["op5_rendezvous_shards"] = rendezvous.ORACLE
+
+
+@query
+def op7_qgram_decontamination(spark, sf_dir):
+    return decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
