@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm import perplexity as ppl
@@ -140,11 +141,52 @@ def _measured(model: Broadcast):
     return run
 
 
-def quality_rules(
-    docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
-    lower_width: float = LOWER_WIDTH, upper_width: float = UPPER_WIDTH,
-    least_quartile: float = LEAST_QUARTILE,
-) -> DataFrame:
+def _models(docs: DataFrame) -> list[tuple[Column, Broadcast]]:
+    """(which rows, scorer of their languages): groups of rows whose models fit one task."""
+    spark = docs.sparkSession
+    counts = cut_lineage(ppl.gram_counts(docs))
+    arrays = cut_lineage(ppl.hash_arrays(ppl.kneser_ney(counts)))
+    known = [r["lang"] for r in arrays.select("lang").distinct().collect()]
+    lang = ppl.language(F.col("lang"))
+    groups = []
+    for langs, scorer in ppl.scorers(arrays):
+        # languages without a single character have no model; they go with the first group
+        own = lang.isin(langs) if groups else ~lang.isin([x for x in known if x not in langs])
+        groups.append((own, spark.sparkContext.broadcast(scorer)))
+    return groups or [(F.lit(True), spark.sparkContext.broadcast(ppl.Scorer({})))]
+
+
+def scored_texts(docs: DataFrame) -> DataFrame:
+    """SCHEMA: the measures and perplexity of every row, by models counted over all rows."""
+    read = docs.select("doc_id", ppl.language(F.col("lang")), "text").toDF("doc_id", "lang", "text")
+    parts = [read.where(own).mapInArrow(_measured(model), SCHEMA) for own, model in _models(docs)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@dataclass
+class Rules:
+    """Limits of the quality rules."""
+
+    min_words: int = MIN_WORDS
+    max_repeat_percent: int = MAX_REPEAT_PERCENT
+    lower_width: float = LOWER_WIDTH
+    upper_width: float = UPPER_WIDTH
+    least_quartile: float = LEAST_QUARTILE
+
+    def failed(self, n_words, n_repeat_words):
+        return (n_words < self.min_words) | (100 * n_repeat_words > self.max_repeat_percent * n_words)
+
+    def bands(self, judged: DataFrame) -> DataFrame:
+        return ppl.bands(judged.where(~F.col("base_failed")), self.lower_width, self.upper_width,
+                         self.least_quartile)
+
+
+def _judged(docs: DataFrame, rules: Rules) -> DataFrame:
+    scored = cut_lineage(scored_texts(docs))
+    return scored.withColumn("base_failed", rules.failed(F.col("n_words"), F.col("n_repeat_words")))
+
+
+def quality_rules(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang) with its measures and verdict.
 
     The model is counted over all texts, then each text is scored with its language's model, and is
@@ -153,22 +195,37 @@ def quality_rules(
     languages share one model. Repeated rows are judged alike, once each. A NULL doc_id is kept as it
     is. Other columns of ``docs`` are not read. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    read = docs.select("doc_id", ppl.language(F.col("lang")), "text").toDF("doc_id", "lang", "text")
-    counts = cut_lineage(ppl.gram_counts(docs))
-    arrays = cut_lineage(ppl.hash_arrays(ppl.kneser_ney(counts)))
-    known = [r["lang"] for r in arrays.select("lang").distinct().collect()]
-    parts = []
-    for langs, scorer in ppl.scorers(arrays):
-        # languages without a single character have no model; they go with the first group
-        own = F.col("lang").isin(langs) if parts else ~F.col("lang").isin([x for x in known if x not in langs])
-        parts.append(read.where(own).mapInArrow(_measured(spark.sparkContext.broadcast(scorer)), SCHEMA))
-    if not parts:
-        parts.append(read.mapInArrow(_measured(spark.sparkContext.broadcast(ppl.Scorer({}))), SCHEMA))
-    scored = cut_lineage(reduce(DataFrame.unionByName, parts))
-    failed = (F.col("n_words") < min_words) | (
-        100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    judged = scored.withColumn("base_failed", failed)
-    band = Lookup(ppl.bands(judged.where(~F.col("base_failed")), lower_width, upper_width, least_quartile))
+    rules = rules or Rules()
+    judged = _judged(docs, rules)
     inside = F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
-    return band.join(judged, "lang", "left").withColumn("kept", ~F.col("base_failed") & inside)
+    return Lookup(rules.bands(judged)).join(judged, "lang", "left").withColumn(
+        "kept", ~F.col("base_failed") & inside)
+
+
+def _passing(model: Broadcast, bounds: dict, rules: Rules, text_at: int, lang_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _measured(model)
+        for batch in batches:
+            langs = pa.array([x or ppl.NO_LANGUAGE for x in batch.column(lang_at).to_pylist()], pa.string())
+            rows = pa.RecordBatch.from_arrays(
+                [pa.nulls(len(batch), pa.int64()), langs, batch.column(text_at)], ["doc_id", "lang", "text"])
+            kept = [i for x in score(iter([rows])) for i, r in enumerate(x.to_pylist())
+                    if not rules.failed(r["n_words"], r["n_repeat_words"]) and r["perplexity"] is not None
+                    and r["lang"] in bounds and bounds[r["lang"]][0] <= r["perplexity"] <= bounds[r["lang"]][1]]
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return run
+
+
+def passing(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
+    """The rows of ``docs`` that pass the quality rules, with all their columns.
+
+    Texts are scored twice, once for the bands and once to filter, so that none has to be shuffled.
+    Language codes are few, and so are their bounds.
+    """
+    rules = rules or Rules()
+    bounds = {r["lang"]: (r["lower"], r["upper"]) for r in rules.bands(_judged(docs, rules)).collect()}
+    at = docs.columns.index("text"), docs.columns.index("lang")
+    return reduce(DataFrame.unionByName, [
+        docs.where(own).mapInArrow(_passing(model, bounds, rules, *at), docs.schema)
+        for own, model in _models(docs)])

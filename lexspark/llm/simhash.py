@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.components import connected
 from lexspark.plans.lineage import cut_lineage
+from lexspark.plans.sizing import Lookup
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -50,6 +51,16 @@ def _fingerprints(words: int):
     return run
 
 
+def _keyed(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [fingerprint(t, words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(values, pa.int64()), batch.column(2)], ["doc_id", "fp", "_key"])
+
+    return run
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp) for every row; a NULL or blank text has fingerprint zero."""
     return docs.select("doc_id", "text").mapInArrow(_fingerprints(words), "doc_id bigint, fp bigint")
@@ -135,6 +146,22 @@ def _by_middle(prints: DataFrame) -> DataFrame:
     return near.select(F.array_min("near").alias("a"), F.explode("near").alias("b")).where("a <> b").distinct()
 
 
+def components_of(
+    rows: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS
+) -> DataFrame:
+    """(fp, label, component_id) for every fingerprint of ``rows`` (doc_id, fp): its component, named
+    by a fingerprint, and the smallest doc_id in it."""
+    prints = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    labels = cut_lineage(connected(cut_lineage(links(prints.select("fp"), max_bits, segments))))
+    linked = cut_lineage(labels.withColumnRenamed("node", "fp").join(prints, "fp"))
+    least = linked.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    named = linked.join(least, "label").select("fp", "label", "component_id")
+    alone = F.col("label").isNull()
+    return prints.join(named, "fp", "left").select(
+        "fp", F.coalesce("label", "fp").alias("label"),
+        F.when(alone, F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
 ) -> DataFrame:
@@ -147,12 +174,37 @@ def near_duplicates(
     any doc_id has NULL. Other columns are not read; an empty table gives an empty result.
     """
     rows = cut_lineage(fingerprints(docs, words))
-    prints = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    labels = cut_lineage(connected(cut_lineage(links(prints.select("fp"), max_bits, segments))))
-    linked = cut_lineage(labels.withColumnRenamed("node", "fp").join(prints, "fp"))
-    least = linked.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = linked.join(least, "label").select("fp", "component_id")
-    known = cut_lineage(prints.join(named, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    known = cut_lineage(components_of(rows, max_bits, segments))
     return rows.join(known, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicated(
+    docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
+) -> DataFrame:
+    """One row of ``docs`` of each component of near-duplicates, with its columns.
+
+    The row with the smallest doc_id stays, NULL last; among rows with one doc_id the smallest hash of the
+    text decides, and of equal rows one stays. Texts are shuffled only if more rows go than a broadcast
+    holds.
+    """
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_key", F.concat(
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"),
+            F.coalesce(F.sha2("text", 256), F.lit(""))))
+
+    hashed = named(docs.select("doc_id", "text"))
+    rows = cut_lineage(hashed.mapInArrow(_keyed(words), "doc_id bigint, fp bigint, _key string"))
+    groups = cut_lineage(components_of(rows, max_bits, segments))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    grouped = cut_lineage(rows.join(groups, "fp").select("label", order.alias("place"), "_key"))
+    stays = grouped.groupBy("label").agg(F.min("place")["_key"].alias("_key"))
+    keys = cut_lineage(grouped.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).join(
+        stays.withColumn("stays", F.lit(True)), "_key", "left"))
+    left = Lookup(keys.where("stays IS NULL").select("_key")).join(named(docs), "_key", "left_anti")
+    repeated = Lookup(keys.where("stays AND n > 1").select("_key"))
+    if repeated.table.isEmpty():
+        return left.drop("_key")
+    single = repeated.join(left, "_key", "left_anti")
+    again = repeated.join(left, "_key", "left_semi").dropDuplicates(["_key"])
+    return single.unionByName(again).drop("_key")
