@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import decontamination, mixing, quality, rendezvous, simhash
+from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,11 @@ ORACLES["op5_rendezvous_shards"] = rendezvous.ORACLE
 def op7_qgram_decontamination(spark, sf_dir):
     return decontamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_line_similarity_dedup(spark, sf_dir):
+    return line_dedup.line_matches(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_line_similarity_dedup"] = line_dedup.ORACLE
