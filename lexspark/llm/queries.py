@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, simhash
+from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,13 @@ def op9_line_similarity_dedup(spark, sf_dir):
 
 
 ORACLES["op9_line_similarity_dedup"] = line_dedup.ORACLE
+
+
+@query
+def op2_secret_randomness(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_transducer_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
