@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts
+from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts, training_order
+from lexspark.plans.lineage import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +72,12 @@ def op2_secret_randomness(spark, sf_dir):
 @query
 def op6_transducer_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_training_order(spark, sf_dir):
+    target = scratch_path(spark, "training-order")
+    training_order.write_training_order(
+        table(spark, sf_dir, "documents"), target, public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN, key=42)
+    return training_order.read_training_order(spark, target).drop("tokens")
