@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts, training_order
+from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts, tool_calls, training_order
 from lexspark.plans.lineage import scratch_path
 
 QUERIES = {}
@@ -81,3 +81,12 @@ def op10_training_order(spark, sf_dir):
         table(spark, sf_dir, "documents"), target, public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN, key=42)
     return training_order.read_training_order(spark, target).drop("tokens")
+
+
+@query
+def op4_tool_call_linking(spark, sf_dir):
+    calls, results = tool_calls.derived_calls(table(spark, sf_dir, "conversations"))
+    return tool_calls.linked_calls(calls, results, tool_calls.TOOLS)
+
+
+ORACLES["op4_tool_call_linking"] = tool_calls.ORACLE
