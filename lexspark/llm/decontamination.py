@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.perplexity import chunks
+from lexspark.llm.perplexity import chunks, pieces
 from lexspark.llm.quality import contained
 from lexspark.llm.words import SPACES
 
@@ -21,7 +21,7 @@ EDIT_RATE = 0.1
 MIN_CHARS = 40
 MIN_SHARED = 4
 BLOCK_CHARS = 8 << 20
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SCHEMA = "doc_id bigint, item_id bigint, start bigint, end bigint, distance bigint"
@@ -63,7 +63,7 @@ def grams(codes: np.ndarray) -> np.ndarray:
 class Index:
     """The q-grams of a block of benchmark items."""
 
-    ids: np.ndarray
+    ids: list[int | None]
     items: list[np.ndarray]
     edits: np.ndarray
     shared: np.ndarray
@@ -95,7 +95,7 @@ class Index:
         order = np.argsort(every, kind="stable")
         every = every[order]
         first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.empty(0, int)
-        return cls(np.array(ids, np.int64), items, edits, sizes - Q + 1 - Q * edits, every[first], first,
+        return cls(ids, items, edits, sizes - Q + 1 - Q * edits, every[first], first,
                    np.diff(np.r_[first, len(every)]), item[order], offset[order],
                    int(min(26, max(16, np.ceil(np.log2(max(1, len(first)) * 32))))))
 
@@ -210,10 +210,10 @@ def _found(index: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, table = index.value, fold_table()
         bitmap = own.bitmap()
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             rows = [
-                (ids[a + row], int(own.ids[no]), start, end, distance)
+                (ids[a + row], own.ids[no], start, end, distance)
                 for a, b in chunks(texts, CHUNK_CHARS)
                 for (row, no), (distance, start, end) in matches(texts[a:b], own, bitmap, table).items()
             ]
@@ -228,7 +228,7 @@ def _without(index: Broadcast, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, table = index.value, fold_table()
         bitmap = own.bitmap()
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             hit = {a + row for a, b in chunks(texts, CHUNK_CHARS)
                    for row, _ in matches(texts[a:b], own, bitmap, table)}

@@ -20,7 +20,8 @@ from lexspark.plans.lineage import cut_lineage
 ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
+PIECE_ROWS = 1024
 MODEL_BYTES = 256 * 1024 * 1024
 ENTRY_BYTES = 12
 NO_LANGUAGE = "und"
@@ -55,6 +56,13 @@ def scramble(gram, n: int):
     return mixed ^ (mixed >> np.uint32(bits // 2 + 1))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of up to ``rows`` rows, so that few texts are held as Python strings."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def chunks(texts: list[str | None], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``size`` characters; a text is never cut."""
     start = total = 0
@@ -97,7 +105,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of each task, one row per language and n-gram; at most SYMBOLS**ORDER per language."""
     table = symbol_table()
     found: dict[str, list] = {}
-    for batch in batches:
+    for batch in pieces(batches):
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in set(langs):
             own = [t for t, at in zip(texts, langs, strict=True) if at == lang and t]
@@ -151,7 +159,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
     ``counts`` has full n-grams. Lower orders count the different symbols seen before an n-gram, as
     every n-gram has a symbol before it (texts start with borders). ``backoff`` is the weight an
-    n-gram as history gives to the next lower order.
+    n-gram as history gives to the next lower order; a history only seen at the start of texts has no
+    ``p`` of its own.
     """
     by_order = {ORDER: counts.withColumnRenamed("n", "n")}
     for n in range(ORDER - 1, 0, -1):
@@ -190,7 +199,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         part = scored
         if at + 1 < len(out):
             weights = out[at + 1][2].select("lang", F.col("history").alias("gram"), "backoff")
-            part = part.join(weights, ["lang", "gram"], "left")
+            part = part.join(weights, ["lang", "gram"], "full")
         else:
             part = part.withColumn("backoff", F.lit(None).cast("double"))
         part = part.select("lang", F.lit(n).alias("n"), "gram", "p", F.coalesce("backoff", F.lit(1.0)).alias("backoff"))
@@ -269,9 +278,14 @@ class Scorer:
             at, hit = self.find(lang, n, rest >> BITS & (1 << n * BITS) - 1)
             weight += np.where(hit, self.orders[lang][n - 1][2][at], 0.0)
             at, hit = self.find(lang, n, rest & (1 << n * BITS) - 1)
-            out[missing] = weight + self.orders[lang][n - 1][1][at]
+            p = self.orders[lang][n - 1][1][at]
+            out[missing], hit = weight + p, hit & ~np.isnan(p)
             missing, rest, weight = missing[~hit], rest[~hit], weight[~hit]
-        out[missing] = weight - np.log(SYMBOLS)
+        # symbols never seen share what the others leave
+        single = np.exp(self.orders[lang][0][1].astype(np.float64))
+        single = single[~np.isnan(single)]
+        if len(missing):
+            out[missing] = weight + np.log(max(1 - single.sum(), 1e-9) / (SYMBOLS - len(single)))
         return out
 
     def perplexities(self, lang: str, texts: list[str | None]) -> list[float | None]:

@@ -118,7 +118,7 @@ def measures(texts: list[str], kinds: np.ndarray) -> list[list[int]]:
 def _measured(model: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, kinds = model.value, _kinds()
-        for batch in batches:
+        for batch in ppl.pieces(batches):
             ids, langs, texts = (c.to_pylist() for c in batch.columns)
             texts = [t or "" for t in texts]
             scores: list = [None] * len(texts)
@@ -205,7 +205,7 @@ def quality_rules(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
 def _passing(model: Broadcast, bounds: dict, rules: Rules, text_at: int, lang_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _measured(model)
-        for batch in batches:
+        for batch in ppl.pieces(batches):
             langs = pa.array([x or ppl.NO_LANGUAGE for x in batch.column(lang_at).to_pylist()], pa.string())
             rows = pa.RecordBatch.from_arrays(
                 [pa.nulls(len(batch), pa.int64()), langs, batch.column(text_at)], ["doc_id", "lang", "text"])

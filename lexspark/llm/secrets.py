@@ -17,7 +17,7 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 8
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-ALPHA = 0.05
+ALPHA = 0.01
 STEPS = 50
 CLASSES = 32
 _DIGITS, _UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -116,13 +116,16 @@ def battery(values: Column, k: int) -> Column:
     return let(values, tests)
 
 
+def _place_in(alphabet: str):
+    return lambda c: F.call_function("instr", F.lit(alphabet), c) - 1
+
+
 def token_score(token: Column) -> Column:
     """Logarithm of the p-value of ``token`` under its inferred encoding, NULL if it has none."""
     out = F.lit(None).cast("double")
     for name, shape, alphabet in reversed(ENCODINGS):
         plain = F.lower(token) if name == "hex" else F.translate(token, "-_", "+/")
-        values = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""),
-                             lambda c, alphabet=alphabet: F.call_function("instr", F.lit(alphabet), c) - 1)
+        values = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), _place_in(alphabet))
         out = F.when(token.rlike(shape), battery(values, len(alphabet))).otherwise(out)
     return out
 

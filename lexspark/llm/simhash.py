@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm.components import connected
+from lexspark.llm.perplexity import pieces
 from lexspark.plans.lineage import cut_lineage
 from lexspark.plans.sizing import Lookup
 
@@ -43,7 +44,7 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             values = [fingerprint(t, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
@@ -53,7 +54,7 @@ def _fingerprints(words: int):
 
 def _keyed(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             values = [fingerprint(t, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values, pa.int64()), batch.column(2)], ["doc_id", "fp", "_key"])

@@ -8,6 +8,7 @@ the count, which is negative where tokens merge.
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,9 +17,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
+
+from lexspark.llm.perplexity import pieces
 
 LIMIT = 1024
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 SCAN_CHARS = 64
 TRANSITIONS = 1 << 19
 _MIX, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -33,13 +37,27 @@ STATES, CLASSES = 13, 12
 HERE, BEFORE = 1, 2
 
 
+def _joining(codes: list[int], first: str) -> list[int]:
+    """The code points that the library's parts join to ``first``."""
+    text = "".join(first + chr(c) + "\n" for c in codes)
+    starts = {span[0] for _, span in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)}
+    return [c for i, c in enumerate(codes) if 3 * i + 1 not in starts]
+
+
 @lru_cache(1)
 def character_classes() -> np.ndarray:
+    """Class of each code point, in the library's version of Unicode.
+
+    Python's version has fewer letters and numbers than the library's and the patterns' has more, so
+    the library is asked about those between.
+    """
     table = np.full(0x110000, OTHER, np.uint8)
+    known = {c: unicodedata.category(chr(c))[0] for c in range(0x110000)}
     text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    for pattern, number in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", WHITE)):
-        found = regex.findall(pattern, text)
-        table[np.frombuffer("".join(found).encode("utf-32-le"), np.uint32)] = number
+    newer = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", text) if known[ord(c)] not in "LN"]
+    table[[c for c, kind in known.items() if kind == "L"] + _joining(newer, "b")] = LETTER
+    table[[c for c, kind in known.items() if kind == "N"] + _joining(newer, "7")] = NUMBER
+    table[[ord(c) for c in regex.findall(r"\s", text)]] = WHITE
     for chars, number in (("stmd", STMD), ("r", R), ("v", V), ("l", L), ("e", E), (" ", SPACE), ("'", QUOTE)):
         table[[ord(c) for c in chars]] = number
     return table
@@ -306,7 +324,7 @@ def count_tokens(texts: list[str], counter: PartCounter) -> list[int]:
 def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = part_counter(path)
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             tokens: list[int] = []
             start = total = 0
