@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.plans.lineage import cut_lineage
+from lexspark.plans.lineage import scratch_path
 from lexspark.plans.order import ranges
 from lexspark.plans.sizing import Lookup
 
@@ -22,6 +22,8 @@ SEQUENCE_TOKENS = 256
 SHARD_ROWS = 4096
 ROUNDS = 6
 CACHE_WORDS = 200_000
+#: Token ids are most of what is written; this takes a quarter less of the disk than the default.
+COMPRESSION = "zstd"
 #: A record: doc_id, sequence number, tokens, 1 if there is no doc_id; then the token ids.
 HEADER = np.dtype([("doc_id", "<i8"), ("seq_no", "<u4"), ("n_tokens", "<u2"), ("no_id", "<u2")])
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -216,7 +218,9 @@ def write_training_order(
     rows each have their own sequences. Other columns are not read; an empty table writes no shard.
     """
     spark = docs.sparkSession
-    made = cut_lineage(sequences(docs, path, pattern, length))
+    encoded = scratch_path(spark, "sequences")
+    sequences(docs, path, pattern, length).write.option("compression", COMPRESSION).parquet(encoded)
+    made = spark.read.schema(SEQUENCES).parquet(encoded)
     firsts, total = first_numbers(made.where("seq_no = 0").select("row", "doc_id", "text_hash", "n_seqs"))
     numbered = Lookup(firsts).join(made, "row").select(
         (F.col("first") + F.col("seq_no")).alias("slot"), "doc_id", "seq_no", "n_tokens", "ids")
@@ -225,7 +229,7 @@ def write_training_order(
     parts = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 512))
     at = F.floor(F.floor(F.col("slot") / shard_rows) * parts / shards).cast("int")
     placed.repartitionById(parts, at).sortWithinPartitions("slot").mapInArrow(
-        _shards(shard_rows), SHARDS).write.parquet(target)
+        _shards(shard_rows), SHARDS).write.option("compression", COMPRESSION).parquet(target)
 
 
 RECORDS = ("slot bigint, shard bigint, offset bigint, doc_id bigint, seq_no int, n_tokens int, "
