@@ -18,12 +18,12 @@ from lexspark.sources.lines import top_titles
 def example_rows(
     articles: DataFrame, vocabulary: DataFrame, stopwords: DataFrame, stop_list: Sequence[str],
     title_weights: DataFrame | None = None, k: int = ranking.OUTPUTS_PER_WORD,
-    n_titles: int = 100_000,
+    n_titles: int | None = None,
 ) -> DataFrame:
     """Best ``k`` sentences per vocabulary word with their suitability, best first.
 
-    ``stop_list`` holds the stopwords the default tree skips. With ``title_weights`` only the most
-    viewed titles are read.
+    ``stop_list`` holds the stopwords the default tree skips. With ``title_weights`` only the
+    ``n_titles`` most viewed titles are read (None: all that are listed).
     """
     if title_weights is not None:
         articles = corpus.keep_titles(articles, top_titles(title_weights, n_titles))
@@ -53,7 +53,8 @@ def occurrences_of(
 ) -> DataFrame:
     """Best ``k`` occurrences of the requested words with vectors: the points to cluster.
 
-    Sentences without a requested word are dropped before they are scored.
+    Sentences without a requested word are dropped before they are scored. ``occ_id`` numbers the points
+    of a word; ``point_id`` tells points of all words apart, as clustering several words together needs.
     """
     with_word = sents.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in words])))
     wanted = F.col("word").isin(*words)
@@ -69,7 +70,7 @@ def occurrences_of(
         encoded = vectors.encode(ranked.withColumn("target_pos", F.col("tok_id")), encoder)
     return encoded.select(
         "word", (F.col("rank") - 1).alias("occ_id"), "title", "sentence",
-        F.col("score").alias("simplicity"), "vec",
+        F.col("score").alias("simplicity"), "vec", F.xxhash64("word", "rank").alias("point_id"),
     )
 
 
@@ -92,9 +93,14 @@ def place_and_cluster(
     return placed.join(labels, [group, key])
 
 
+def _point_key(labels: DataFrame) -> list[str]:
+    return ["point_id"] if "point_id" in labels.columns else ["word", "occ_id"]
+
+
 def clustered_rows(points: DataFrame, labels: DataFrame) -> DataFrame:
     """(title, word, sentence, simplicity, cluster) for every point, noise included."""
-    return points.join(labels.select("word", "occ_id", "cluster"), ["word", "occ_id"]).select(
+    key = _point_key(labels)
+    return points.join(labels.select(*key, "cluster"), key).select(
         "title", "word", "sentence", "simplicity", "cluster"
     )
 
@@ -105,9 +111,9 @@ def drop_noise(labels: DataFrame) -> DataFrame:
 
 def plot_points(points: DataFrame, labels: DataFrame, title: str = "word") -> DataFrame:
     """Chart rows: title, x, y, cluster as colour, sentence as hover text; noise is left out."""
-    return drop_noise(labels).join(
-        points.select("word", "occ_id", "sentence"), ["word", "occ_id"]
-    ).select(F.col(title).alias("title"), "x", "y", "cluster", F.col("sentence").alias("hovertext"))
+    key = _point_key(labels)
+    shown = points.select(*dict.fromkeys([*key, "word", "sentence"]))
+    return drop_noise(labels).join(shown, key).select(F.col(title).alias("title"), "x", "y", "cluster", F.col("sentence").alias("hovertext"))
 
 
 def word_usage(

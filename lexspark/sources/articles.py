@@ -17,17 +17,22 @@ def _join_lines(body: Column) -> Column:
     return F.array_join(F.transform(F.split(body, "\n"), trim_space), " ")
 
 
-def _title_and_article(block: Column) -> Column:
-    """Parse one block that ends before its closing line; the last opening line counts."""
+def _title_and_article(block: Column, with_break: bool) -> Column:
+    """Parse one block that ends before its closing line; the last opening line counts.
+
+    ``with_break`` tells whether the line break before the closing line is still there.
+    """
 
     def parse(text: Column) -> Column:
         cut = F.instr(text, "\n")
         header = F.when(cut > 0, F.substring(text, F.lit(1), cut - 1)).otherwise(text)
         # the line break after the header and the one before the closing line are no content
         body = F.when(cut > 0, F.substring(text, cut + 1, F.length(text)))
+        if with_break:
+            body = F.regexp_replace(body, r"\n\z", "")
         return F.struct(
             doc_title(header).alias("title"),
-            F.coalesce(_join_lines(F.regexp_replace(body, r"\n\z", "")), F.lit("")).alias("article"),
+            F.coalesce(_join_lines(body), F.lit("")).alias("article"),
         )
 
     return let(F.element_at(F.split(block, _OPEN), -1), parse)
@@ -69,7 +74,7 @@ def read_articles(
             )
             .withColumn("block", F.get(F.split("block", _CLOSE), F.lit(0)))
         )
-    articles = records.select("file", "ord", _title_and_article(F.col("block")).alias("_a")).select(
+    articles = records.select("file", "ord", _title_and_article(F.col("block"), not splittable).alias("_a")).select(
         "file", "ord", "_a.title", "_a.article"
     )
     if not first_only:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from lexspark.functions.text import first_field, trim_space
 from lexspark.plans.lineage import cut_lineage
 
-TOPN_TITLES = 100_000
-FILES_TO_READ = 50
-
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with sort keys for their place in the file: (file, block, line).
@@ -30,7 +27,7 @@ def _place() -> Column:
     return F.struct("file", "block", "line")
 
 
-def read_manifest(spark: SparkSession, path: str, limit: int | None = FILES_TO_READ) -> DataFrame:
+def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Document file names in manifest order, the first ``limit`` of them (None: all)."""
     names = (
         read_lines(spark, path)
@@ -77,16 +74,20 @@ def count_rejected_weights(spark: SparkSession, path: str) -> DataFrame:
     return lines.agg(F.count_if(~good).alias("rejected"))
 
 
-def top_titles(weights: DataFrame, n: int = TOPN_TITLES) -> DataFrame:
-    """The ``n`` most viewed titles."""
+def top_titles(weights: DataFrame, n: int | None = None) -> DataFrame:
+    """The ``n`` most viewed titles (None: all)."""
+    if n is None:
+        return weights
     return weights.orderBy(F.desc("pageviews"), F.asc("title")).limit(n)
 
 
-def first_titles(spark: SparkSession, path: str, n: int = TOPN_TITLES) -> DataFrame:
-    """The first ``n`` distinct titles in file order.
+def first_titles(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
+    """The first ``n`` distinct titles in file order (None: all).
 
     Reading ends where the ``n``-th title appears, so repeats after it do not change counts.
     """
+    if n is None:
+        return read_title_weights(spark, path)
     rows = cut_lineage(_weights(spark, path))
     seen = rows.groupBy("title").agg(F.min("ord").alias("first"))
     last = seen.orderBy("first").limit(n).agg(F.max("first").alias("last"))

@@ -55,6 +55,20 @@ def test_article_edges(spark, tmp_path, content, expected):
     assert read(spark, write(tmp_path, "f", content)) == expected
 
 
+@pytest.mark.parametrize("splittable", [False, True])
+def test_blank_line_before_the_closing_line(spark, tmp_path, splittable):
+    path = write(tmp_path, "f", '<doc title="A">\nx\n\n</doc>\n<doc title="B">\n\n</doc>\n')
+    assert read(spark, path, splittable=splittable) == [("A", "x "), ("B", "")]
+
+
+def test_nothing_is_cut_without_a_limit(spark, tmp_path):
+    listed = write(tmp_path, "list", "".join(f"f{i}\n" for i in range(60)))
+    assert lines.read_manifest(spark, listed).count() == 60
+    weights = write(tmp_path, "weights", "A 1\nB 3\nA 2\n")
+    assert {tuple(r) for r in lines.first_titles(spark, weights).collect()} == {("A", 2), ("B", 3)}
+    assert lines.top_titles(lines.read_title_weights(spark, weights)).count() == 2
+
+
 def test_unclosed_last_article_is_kept_when_split(spark, tmp_path):
     path = write(tmp_path, "f", '<doc title="A">\nx\n</doc>\n<doc title="B">\nopen')
     assert read(spark, path, splittable=True) == [("A", "x"), ("B", "open")]
