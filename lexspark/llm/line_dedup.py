@@ -160,11 +160,11 @@ def without_repeats(docs: DataFrame, hot: int = HOT_TOKEN) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``; all columns stay."""
     gone = _flagged(docs, matched(docs, hot)).where("removed").groupBy("doc_id").agg(
         F.collect_set("line_no").alias("_gone")).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "_gone")
-    kept = let(F.struct("text", "_gone"), lambda d: F.array_join(F.filter(
+    kept = let(F.struct("_doc.text", "_gone"), lambda d: F.array_join(F.filter(
         F.split(d["text"], "\n"), lambda line, i: ~F.array_contains(d["_gone"], i)), "\n"))
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return Lookup(gone).join(named, "_id", "left").withColumn(
-        "text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    named = docs.select(F.struct("*").alias("_doc"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"))
+    text = F.when(F.col("_gone").isNull(), F.col("_doc.text")).otherwise(kept)
+    return Lookup(gone).join(named, "_id", "left").withColumn("_doc", F.col("_doc").withField("text", text)).select("_doc.*")
 
 
 ORACLE = r"""

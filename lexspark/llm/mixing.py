@@ -143,7 +143,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their columns.
 
-    Rows that share the end of a budget are taken or left together, whichever is nearer.
+    Rows that share the end of a budget are taken or left together, whichever is nearer. Rows without
+    words are never taken, as in ``mix``.
     """
     rows = cut_lineage(measured(docs))
     found = Lookup(thresholds(rows, cut_lineage(targets(rows, **options))))
@@ -152,8 +153,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     keyed = docs.select(F.struct("*").alias("_doc"), F.struct(
         row_key(F.col("doc_id"), F.col("text")).alias("key")).alias("_row"),
         _source(F.col("source")).alias("src"))
-    copies = F.when(F.length(F.trim(F.coalesce("_doc.text", F.lit("")))) == 0, 0).otherwise(
-        F.col("full") + more.cast("bigint"))
+    copies = F.when(word_count(F.col("_doc.text")) == 0, 0).otherwise(F.col("full") + more.cast("bigint"))
     joined = found.join(keyed, "src").withColumn("_copies", copies).where("_copies > 0")
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")
 

@@ -156,10 +156,10 @@ def _models(docs: DataFrame) -> list[tuple[Column, Broadcast]]:
     return groups or [(F.lit(True), spark.sparkContext.broadcast(ppl.Scorer({})))]
 
 
-def scored_texts(docs: DataFrame) -> DataFrame:
-    """SCHEMA: the measures and perplexity of every row, by models counted over all rows."""
+def scored_texts(docs: DataFrame, models: list[tuple[Column, Broadcast]]) -> DataFrame:
+    """SCHEMA: the measures and perplexity of every row."""
     read = docs.select("doc_id", ppl.language(F.col("lang")), "text").toDF("doc_id", "lang", "text")
-    parts = [read.where(own).mapInArrow(_measured(model), SCHEMA) for own, model in _models(docs)]
+    parts = [read.where(own).mapInArrow(_measured(model), SCHEMA) for own, model in models]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -181,8 +181,8 @@ class Rules:
                          self.least_quartile)
 
 
-def _judged(docs: DataFrame, rules: Rules) -> DataFrame:
-    scored = cut_lineage(scored_texts(docs))
+def _judged(docs: DataFrame, rules: Rules, models: list[tuple[Column, Broadcast]]) -> DataFrame:
+    scored = cut_lineage(scored_texts(docs, models))
     return scored.withColumn("base_failed", rules.failed(F.col("n_words"), F.col("n_repeat_words")))
 
 
@@ -196,7 +196,7 @@ def quality_rules(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     is. Other columns of ``docs`` are not read. An empty table gives an empty result.
     """
     rules = rules or Rules()
-    judged = _judged(docs, rules)
+    judged = _judged(docs, rules, _models(docs))
     inside = F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     return Lookup(rules.bands(judged)).join(judged, "lang", "left").withColumn(
         "kept", ~F.col("base_failed") & inside)
@@ -206,7 +206,7 @@ def _passing(model: Broadcast, bounds: dict, rules: Rules, text_at: int, lang_at
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _measured(model)
         for batch in ppl.pieces(batches):
-            langs = pa.array([x or ppl.NO_LANGUAGE for x in batch.column(lang_at).to_pylist()], pa.string())
+            langs = pa.array([ppl.NO_LANGUAGE if x is None else x for x in batch.column(lang_at).to_pylist()], pa.string())
             rows = pa.RecordBatch.from_arrays(
                 [pa.nulls(len(batch), pa.int64()), langs, batch.column(text_at)], ["doc_id", "lang", "text"])
             kept = [i for x in score(iter([rows])) for i, r in enumerate(x.to_pylist())
@@ -220,12 +220,13 @@ def _passing(model: Broadcast, bounds: dict, rules: Rules, text_at: int, lang_at
 def passing(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """The rows of ``docs`` that pass the quality rules, with all their columns.
 
-    Texts are scored twice, once for the bands and once to filter, so that none has to be shuffled.
-    Language codes are few, and so are their bounds.
+    The model is counted once. Texts are scored twice, for the bands and to filter, so that none has
+    to be shuffled. Language codes are few, and so are their bounds.
     """
     rules = rules or Rules()
-    bounds = {r["lang"]: (r["lower"], r["upper"]) for r in rules.bands(_judged(docs, rules)).collect()}
+    models = _models(docs)
+    bounds = {r["lang"]: (r["lower"], r["upper"]) for r in rules.bands(_judged(docs, rules, models)).collect()}
     at = docs.columns.index("text"), docs.columns.index("lang")
     return reduce(DataFrame.unionByName, [
         docs.where(own).mapInArrow(_passing(model, bounds, rules, *at), docs.schema)
-        for own, model in _models(docs)])
+        for own, model in models])

@@ -189,12 +189,10 @@ def deduplicated(
     text decides, and of equal rows one stays. Texts are shuffled only if more rows go than a broadcast
     holds.
     """
-    def named(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_key", F.concat(
-            F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"),
-            F.coalesce(F.sha2("text", 256), F.lit(""))))
-
-    hashed = named(docs.select("doc_id", "text"))
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"),
+                   F.coalesce(F.sha2("text", 256), F.lit(""))).alias("_key")
+    named = docs.select(F.struct("*").alias("_doc"), key)
+    hashed = docs.select("doc_id", "text", key)
     rows = cut_lineage(hashed.mapInArrow(_keyed(words), "doc_id bigint, fp bigint, _key string"))
     groups = cut_lineage(components_of(rows, max_bits, segments))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
@@ -202,10 +200,10 @@ def deduplicated(
     stays = grouped.groupBy("label").agg(F.min("place")["_key"].alias("_key"))
     keys = cut_lineage(grouped.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).join(
         stays.withColumn("stays", F.lit(True)), "_key", "left"))
-    left = Lookup(keys.where("stays IS NULL").select("_key")).join(named(docs), "_key", "left_anti")
+    left = Lookup(keys.where("stays IS NULL").select("_key")).join(named, "_key", "left_anti")
     repeated = Lookup(keys.where("stays AND n > 1").select("_key"))
     if repeated.table.isEmpty():
-        return left.drop("_key")
+        return left.select("_doc.*")
     single = repeated.join(left, "_key", "left_anti")
     again = repeated.join(left, "_key", "left_semi").dropDuplicates(["_key"])
-    return single.unionByName(again).drop("_key")
+    return single.unionByName(again).select("_doc.*")

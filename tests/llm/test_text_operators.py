@@ -90,6 +90,14 @@ def test_quality_rules(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.kept)
 
 
+def test_passing_keeps_what_the_rules_keep_for_blank_languages(spark):
+    rows = [(i, prose(70, i), [None, "", "en"][i % 3], "s") for i in range(30)] + [(90, "", "", "s")]
+    docs = table(spark, rows)
+    got = quality.quality_rules(docs).where("kept").collect()
+    assert {r.lang for r in got} == {"", "en", perplexity.NO_LANGUAGE}
+    assert sorted(r.doc_id for r in quality.passing(docs).collect()) == sorted(r.doc_id for r in got)
+
+
 def test_quality_rules_of_nothing(spark):
     empty = table(spark, [])
     assert quality.quality_rules(empty).count() == 0 and quality.passing(empty).count() == 0
