@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm import decontamination, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts, tool_calls, training_order
+from lexspark.llm import (
+    byte_pairs, decontamination, importance, line_dedup, mixing, quality, rendezvous, secrets, simhash, token_counts,
+    tool_calls, training_order, whitening,
+)
 from lexspark.plans.lineage import scratch_path
 
 QUERIES = {}
@@ -90,3 +93,20 @@ def op4_tool_call_linking(spark, sf_dir):
 
 
 ORACLES["op4_tool_call_linking"] = tool_calls.ORACLE
+
+
+@query
+def op11_bit_sliced_resampling(spark, sf_dir):
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_chebyshev_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_byte_level_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_pairs.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_pairs.digests(byte_pairs.decode(ids, ranks, public_tokenizers.PATTERN))
