@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 
-TABLES = ("documents", "embeddings", "conversations", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "conversations", "pages", "benchmark", "labels", "orders")
 
 
 def main(folder: str, names: list[str]) -> None:

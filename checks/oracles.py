@@ -373,6 +373,49 @@ ORACLES = {
         FROM near n JOIN cores a ON a.word = n.word AND a.occ_id = n.occ_id
                     JOIN cores b ON b.word = n.word AND b.occ_id = n.other
         WHERE n.rank <= 80""", "near", "cores"),
+    # shortest edges first; comps[i] names the component of the i-th point of the word
+    "spanning_tree": _with("""
+        , numbered AS MATERIALIZED (
+            SELECT word, occ_id, row_number() OVER (PARTITION BY word ORDER BY occ_id) AS i FROM cores
+        ), e AS MATERIALIZED (
+            SELECT d.word, d.occ_id AS a, d.other AS b, p.i AS ia, q.i AS ib, greatest(distance, x.core, y.core) AS length,
+                   row_number() OVER (PARTITION BY d.word ORDER BY greatest(distance, x.core, y.core), d.occ_id, d.other) AS at
+            FROM distances d
+            JOIN cores x ON x.word = d.word AND x.occ_id = d.occ_id JOIN cores y ON y.word = d.word AND y.occ_id = d.other
+            JOIN numbered p ON p.word = d.word AND p.occ_id = d.occ_id
+            JOIN numbered q ON q.word = d.word AND q.occ_id = d.other
+            WHERE d.occ_id < d.other
+        ), k AS (
+            SELECT word, 0::BIGINT AS at, range(1, max(i) + 1) AS comps, NULL::BIGINT AS a, NULL::BIGINT AS b, NULL::DOUBLE AS length
+            FROM numbered GROUP BY word
+            UNION ALL
+            SELECT k.word, e.at,
+                   CASE WHEN k.comps[ia] = k.comps[ib] THEN k.comps ELSE list_transform(
+                       k.comps, lambda c: CASE WHEN c = k.comps[ib] THEN k.comps[ia] ELSE c END) END,
+                   CASE WHEN k.comps[ia] <> k.comps[ib] THEN e.a END, CASE WHEN k.comps[ia] <> k.comps[ib] THEN e.b END,
+                   CASE WHEN k.comps[ia] <> k.comps[ib] THEN e.length END
+            FROM k JOIN e ON e.word = k.word AND e.at = k.at + 1
+        )
+        SELECT word, a, b, round(length, 6) AS length FROM k WHERE a IS NOT NULL""", "distances", "cores"),
+    "knn_plane": """
+        WITH p AS (
+            SELECT o_orderstatus AS word, o_orderkey AS occ_id, o_totalprice / 1000 AS x,
+                   date_diff('day', DATE '1990-01-01', o_orderdate::DATE)::DOUBLE AS y FROM orders
+        ), near AS (
+            SELECT a.word, a.occ_id, min({'distance': round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 9),
+                                          'other': b.occ_id}, 10) AS n
+            FROM p a JOIN p b ON a.word = b.word AND a.occ_id <> b.occ_id GROUP BY a.word, a.occ_id
+        )
+        SELECT word, occ_id, i::INT AS rank, n[i].other AS other, n[i].distance AS distance
+        FROM near, range(1, 11) t(i) WHERE i <= len(n)""",
+    "knn_pivots": """
+        WITH p AS (SELECT vec_id AS occ_id, embedding::DOUBLE[] AS v FROM embeddings),
+        near AS (
+            SELECT a.occ_id, min({'distance': round(list_distance(a.v, b.v), 9), 'other': b.occ_id}, 10) AS n
+            FROM p a JOIN p b ON a.occ_id <> b.occ_id GROUP BY a.occ_id
+        )
+        SELECT occ_id, i::INT AS rank, n[i].other AS other, round(n[i].distance, 6) AS distance
+        FROM near, range(1, 11) t(i) WHERE i <= len(n)""",
     "label_runs": f"SELECT vec_id, label, run::BIGINT AS run FROM ({_RUNS})",
     "label_partition": f"""
         SELECT vec_id, label, CASE WHEN run = 0 THEN 0 ELSE 1 END AS part FROM ({_RUNS})""",

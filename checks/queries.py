@@ -9,7 +9,7 @@ from checks.tables import USAGE_WORD, WORDS, Tables, millionths
 from lexspark import flows
 from lexspark.functions import sequences as seq
 from lexspark.functions import text, trees, vectors
-from lexspark.operators import corpus, density, layout, neighbours, runs, sequences, vocabulary
+from lexspark.operators import blocks, corpus, density, layout, neighbours, runs, sequences, vocabulary
 from lexspark.operators import vectors as vec_ops
 from lexspark.operators.ranking import SUITABILITY_SCALE
 from lexspark.plans.lineage import cut_lineage
@@ -466,6 +466,20 @@ def knn_graph(t):
     )
 
 
+@query
+def knn_plane(t):
+    """Neighbours in groups of the plane above one tile: order price and date by order status."""
+    return neighbours.neighbour_edges(neighbours.knn(t.plane(), 10))
+
+
+@query
+def knn_pivots(t):
+    """Neighbours of all stored vectors as one group, bounded by pivots."""
+    points = t.points().withColumn("word", F.lit("all"))
+    found, _ = blocks.block_knn(points, 10, neighbours.nearest, pivots=blocks.N_PIVOTS, block_rows=128)
+    return neighbours.neighbour_edges(found).drop("word").withColumn("distance", F.round("distance", 6))
+
+
 @query
 def fuzzy_graph(t):
     return neighbours.fuzzy_graph(neighbours.knn(t.points())).withColumn(
@@ -499,6 +513,13 @@ def spanning_tree(t):
     return density.spanning_trees(points).withColumn("length", F.round("length", 6))
 
 
+@query
+def spanning_tree_plane(t):
+    near = cut_lineage(neighbours.knn(t.plane(), density.MIN_SAMPLES - 1))
+    points = t.plane().join(density.core_distances(near), ["word", "occ_id"])
+    return density.spanning_trees(points).withColumn("length", F.round("length", 6))
+
+
 @query
 def layout_2d(t):
     near = cut_lineage(neighbours.knn(t.points()))

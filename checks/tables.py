@@ -98,6 +98,13 @@ class Tables:
             F.col("embedding").cast("array<double>").alias("vec"),
         )
 
+    def plane(self) -> DataFrame:
+        """Orders as points: price in thousands and day, grouped by status."""
+        day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date")).cast("double")
+        return self.table("orders").select(
+            F.col("o_orderstatus").alias("word"), F.col("o_orderkey").alias("occ_id"),
+            F.array(F.col("o_totalprice") / 1000, day).alias("vec"))
+
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
