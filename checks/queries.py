@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.tables import USAGE_WORD, WORDS, Tables, millionths
 from lexspark import flows
 from lexspark.functions import sequences as seq
-from lexspark.functions import text, trees, vectors
+from lexspark.functions import text, vectors
 from lexspark.operators import blocks, corpus, density, layout, neighbours, runs, sequences, vocabulary
 from lexspark.operators import vectors as vec_ops
 from lexspark.operators.ranking import SUITABILITY_SCALE
@@ -273,11 +273,7 @@ def own_word_tokens(t):
 
 @query
 def explode_scored_words(t):
-    bundles = t.parsed().select("doc_id", "sent_id", F.zip_with(
-        "words", corpus.simplicity_per_token(F.col("heads")),
-        lambda w, s: F.struct(w.alias("word"), F.round(s, 9).alias("score")),
-    ).alias("bundle"))
-    return bundles.select("doc_id", "sent_id", F.inline("bundle"))
+    return corpus.scored_tokens(t.parsed()).select("doc_id", "sent_id", "word", _r9("score"))
 
 
 @query
@@ -302,6 +298,10 @@ def _per_token(t: Tables, values, name: str) -> DataFrame:
     return corpus.token_values(t.parsed(), values, name)
 
 
+def _measured(t: Tables, name: str) -> DataFrame:
+    return corpus.measured_tokens(t.parsed(), [name]).drop("word")
+
+
 @query
 def chain_heads(t):
     return _per_token(t, F.col("heads"), "head")
@@ -309,26 +309,22 @@ def chain_heads(t):
 
 @query
 def children_count(t):
-    return _per_token(t, trees.children_counts(F.col("heads")), "children")
+    return _measured(t, "children").withColumn("children", F.col("children").cast("int"))
 
 
 @query
 def ancestor_count(t):
-    return _per_token(t, trees.ancestor_counts(F.col("heads")), "ancestors")
+    return _measured(t, "ancestors").withColumn("ancestors", F.col("ancestors").cast("int"))
 
 
 @query
 def simplicity(t):
-    return _per_token(t, corpus.simplicity_per_token(F.col("heads")), "simplicity").withColumn(
-        "simplicity", F.round("simplicity", 9)
-    )
+    return _measured(t, "simplicity").withColumn("simplicity", F.round("simplicity", 9))
 
 
 @query
 def span_coverage(t):
-    return _per_token(t, corpus.coverage_per_token(F.col("heads")), "coverage").withColumn(
-        "coverage", F.round("coverage", 9)
-    )
+    return _measured(t, "coverage").withColumn("coverage", F.round("coverage", 9))
 
 
 @query

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexspark.functions import text, trees
+from lexspark.functions.forests import token_rows
 from lexspark.plans.sizing import Lookup
 
 KEYS = ("doc_id", "sent_id", "tok_id")
+TOKENS_PER_PART = 1 << 17
 
 
 def keep_titles(articles: DataFrame, titles: DataFrame) -> DataFrame:
@@ -79,6 +84,33 @@ def token_values(sents: DataFrame, values: Column, name: str) -> DataFrame:
     return sents.select("doc_id", "sent_id", F.posexplode(values).alias("tok_id", name))
 
 
+def measured_tokens(sents: DataFrame, measures: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """One row per token with measures of its place in the tree: ``ancestors``, ``children`` (whole
+    numbers), ``simplicity``, ``coverage`` (shares).
+
+    All sentences of an Arrow batch are measured at once, and their tokens leave it as rows. The batch
+    is cut so that a part holds about ``TOKENS_PER_PART`` tokens; a longer sentence is one part.
+    """
+    whole = {"ancestors", "children"}
+    read = sents.select("doc_id", "sent_id", *carry, "words", "heads")
+    schema = T.StructType([
+        *read.schema.fields[:-2], T.StructField("tok_id", T.IntegerType()), T.StructField("word", T.StringType()),
+        *[T.StructField(m, T.LongType() if m in whole else T.DoubleType()) for m in measures]])
+    names = list(measures)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(batch.column(batch.num_columns - 1).value_lengths(), 0).to_numpy())
+            start = 0
+            while start < len(batch):
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + TOKENS_PER_PART, "right")))
+                yield token_rows(batch.slice(start, stop - start), names)
+                start = stop
+
+    return read.mapInArrow(run, schema)
+
+
 def scored_tokens(
     sents: DataFrame, carry: Sequence[str] = (), score: Column | None = None
 ) -> DataFrame:
@@ -87,7 +119,9 @@ def scored_tokens(
     ``carry`` names further columns to keep, such as title and sentence; leave it empty where rows
     are shuffled before most of them are dropped.
     """
-    score = simplicity_per_token(F.col("heads")) if score is None else score
+    if score is None:
+        return measured_tokens(sents, ["simplicity"], carry).select(
+            "doc_id", "sent_id", "tok_id", *carry, "word", F.col("simplicity").alias("score"))
     zipped = F.zip_with(
         "words", score,
         lambda w, s: F.struct(w.alias("word"), s.alias("score")),

@@ -206,3 +206,28 @@ def test_positions(spark):
     rows = spark.range(500).select((F.col("id") * 37 % 500).alias("v")).repartition(5)
     got = with_position(rows, [F.desc("v")], "at", start=3).collect()
     assert all(r["at"] == 499 - r["v"] + 3 for r in got)
+
+
+def test_batch_measures_equal_the_expressions(spark, monkeypatch):
+    rng = random.Random(4)
+    cases = [[1, 1, 1, 2, 3, 3], [0], [], None] + [tree(rng, rng.randint(1, 60)) for _ in range(40)]
+    rows = [(i, 0, "t", None if c is None else [f"w{k}" for k in range(len(c))], c) for i, c in enumerate(cases)]
+    sents = spark.createDataFrame(rows, "doc_id bigint, sent_id int, title string, words array<string>, heads array<int>")
+    h = F.col("heads")
+    arrays = sents.where("size(heads) > 0").select("doc_id", "words", trees.ancestor_counts(h).alias("a"), trees.children_counts(h).alias("c"),
+                          corpus.simplicity_per_token(h).alias("s"), corpus.coverage_per_token(h).alias("v")).collect()
+    wanted = {(r.doc_id, i): (r.words[i], r.a[i], r.c[i], r.s[i], r.v[i]) for r in arrays for i in range(len(r.words or []))}
+    for size in (1 << 17, 10):
+        monkeypatch.setattr(corpus, "TOKENS_PER_PART", size)
+        got = corpus.measured_tokens(sents, ["ancestors", "children", "simplicity", "coverage"], ["title"]).collect()
+        assert {(r.doc_id, r.tok_id): (r.word, r.ancestors, r.children, r.simplicity, r.coverage) for r in got} == wanted
+        assert len(got) == len(wanted) and all(r.title == "t" for r in got)
+
+
+def test_a_very_long_sentence(spark):
+    n = 100_000
+    heads = [max(0, i - 1) for i in range(n)]
+    sents = spark.createDataFrame([(1, 0, ["w"] * n, heads)], "doc_id bigint, sent_id int, words array<string>, heads array<int>")
+    got = corpus.measured_tokens(sents, ["ancestors", "children", "coverage"]).orderBy("tok_id").collect()
+    assert [r.ancestors for r in got] == list(range(n))
+    assert all(r.children == (1 if i < n - 1 else 0) for i, r in enumerate(got)) and got[5].coverage == 6 / n
