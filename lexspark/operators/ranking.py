@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.plans.sizing import Lookup
@@ -15,6 +15,13 @@ SUITABILITY_SCALE = 1000
 _LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
+def _allow_limit(spark: SparkSession, k: int) -> None:
+    """The optimizer only limits groups before the shuffle up to this k; the plan is made later than this
+    call, so the setting has to stay."""
+    if int(spark.conf.get(_LIMIT_CONF)) < k:
+        spark.conf.set(_LIMIT_CONF, str(k))
+
+
 def top_k(
     rows: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
     rank: str = "rank", salts: int = 64,
@@ -24,10 +31,7 @@ def top_k(
     Every map task first keeps its own best ``k`` per key; these meet per (key, salt), and only the
     ``salts * k`` best per key reach the last step.
     """
-    spark = rows.sparkSession
-    # the optimizer only limits groups before the shuffle up to this k
-    if int(spark.conf.get(_LIMIT_CONF)) < k:
-        spark.conf.set(_LIMIT_CONF, str(k))
+    _allow_limit(rows.sparkSession, k)
     part = Window.partitionBy(*keys, "_salt").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
     return (
@@ -38,16 +42,21 @@ def top_k(
     )
 
 
-def score_thresholds(scored: DataFrame, k: int) -> DataFrame:
+def score_thresholds(scored: DataFrame, k: int, salts: int = 64) -> DataFrame:
     """Per word the score of its k-th best occurrence, or its lowest one with fewer than k.
 
-    Occurrences are first counted per (word, score) inside each map task, so a word holding a
-    third of the corpus only contributes its distinct scores.
+    Occurrences are counted per (word, score) inside each map task first. Of the distinct scores only
+    the ``k`` best per (word, salt) are handed on, as the threshold is among the ``k`` best ones: the
+    last step sees at most ``salts * k`` rows of a word, however many occurrences or scores it has.
     """
+    _allow_limit(scored.sparkSession, k)
     best_first = Window.partitionBy("word").orderBy(F.desc("score"))
     before = best_first.rowsBetween(Window.unboundedPreceding, -1)
+    salted = Window.partitionBy("word", "_salt").orderBy(F.desc("score"))
     return (
         scored.groupBy("word", "score").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_salt", F.pmod(F.xxhash64("score"), F.lit(salts)))
+        .withColumn("_r", F.row_number().over(salted)).where(F.col("_r") <= k).drop("_salt", "_r")
         .withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .where(F.col("ahead") < k)
         .groupBy("word").agg(F.min("score").alias("threshold"))

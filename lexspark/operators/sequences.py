@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions import sequences as S
 from lexspark.functions import text
+from lexspark.functions.pieces import build_trie, match
 from lexspark.plans.order import with_position
-from lexspark.plans.sizing import Lookup
+from lexspark.plans.sizing import BROADCAST_BYTES, Lookup
 
 MAX_WORD_CHARS = 200
 
@@ -32,18 +34,24 @@ def token_vocabulary(tokens: DataFrame, specials: Sequence[str] = (S.PAD, S.UNKN
     return fixed.unionByName(with_position(rest, [F.asc("token")], "id", start=len(specials)))
 
 
-def subwords(words: DataFrame, vocabulary: DataFrame, max_chars: int = MAX_WORD_CHARS) -> DataFrame:
+def subwords(
+    words: DataFrame, vocabulary: DataFrame, max_chars: int = MAX_WORD_CHARS, limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     """(word) -> (word, pieces): greedy longest match from the left, for distinct words.
 
-    Only substrings up to the longest vocabulary entry can match. A word with a place where no
-    piece starts, or with more than ``max_chars`` characters, becomes the unknown piece.
+    A word with a place where no piece starts, or with more than ``max_chars`` characters, becomes the
+    unknown piece. A vocabulary within ``limit`` bytes is broadcast as a trie that matches batches of
+    words; a larger one is joined to the words' substrings.
     """
     pieces = vocabulary.select(
         F.when(F.col("token").startswith(S.PIECE_PREFIX), F.substring("token", 3, 1 << 30))
         .otherwise(F.col("token")).alias("text"),
         (~F.col("token").startswith(S.PIECE_PREFIX)).alias("initial"),
     )
-    lookup = Lookup(pieces)
+    lookup = Lookup(pieces, limit)
+    if lookup.fits:
+        return _matched(words.select("word").distinct(), lookup, max_chars)
+    # only substrings up to the longest vocabulary entry can match
     longest = lookup.table.agg(F.max(F.length("text"))).first()[0] or 1
     n = F.length("word")
     types = words.select("word").distinct()
@@ -91,6 +99,24 @@ def subwords(words: DataFrame, vocabulary: DataFrame, max_chars: int = MAX_WORD_
     )
 
 
+def _matched(types: DataFrame, pieces: Lookup, max_chars: int) -> DataFrame:
+    known = pieces.table.toPandas()
+    initial = known["initial"].to_numpy(bool)
+    trie = types.sparkSession.sparkContext.broadcast(
+        build_trie(known["text"][initial].tolist(), known["text"][~initial].tolist()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            spans = match([w if w is not None and len(w) <= max_chars else "" for w in words], trie.value)
+            found = [[S.UNKNOWN] if cuts is None else [(S.PIECE_PREFIX if a else "") + w[a:b] for a, b in cuts]
+                     for w, cuts in zip(words, spans, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.string()))], ["word", "pieces"])
+
+    return types.mapInArrow(run, "word string, pieces array<string>")
+
+
 def tokenize(rows: DataFrame, key: str, columns: Sequence[str], vocabulary: DataFrame) -> DataFrame:
     """Replace text columns by arrays of sub-word pieces, lower-cased; NULL text stays NULL.
 

@@ -1,9 +1,12 @@
+import random
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lexspark.functions import sequences as S
 from lexspark.functions import vectors as V
+from lexspark.functions.pieces import build_trie, match
 from lexspark.operators import sequences, vectors
 
 
@@ -161,3 +164,37 @@ def test_encoder_hook(spark):
     got = vectors.encode(rows, encoder).collect()
     assert len(got) == 20
     assert all(r["vec"] == [float(r["target_pos"]), 0.123457] for r in got)
+
+
+def longest_pieces(word, whole, rest):
+    out, at = [], 0
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in (rest if at else whole)), None)
+        if end is None:
+            return None
+        out.append((at, end))
+        at = end
+    return out or None
+
+
+def test_trie_against_trying_all_ends():
+    draw = random.Random(1)
+
+    def some(n):
+        return ["".join(draw.choice("abc\u00e9\U0001f600") for _ in range(draw.randrange(1, 5))) for _ in range(n)]
+
+    for n in (0, 1, 3, 20, 60):
+        for _ in range(20):
+            whole, rest, words = some(n), some(n), [*some(30), "", "abcabcabca"]
+            assert match(words, build_trie(whole, rest)) == [longest_pieces(w, set(whole), set(rest)) for w in words]
+
+
+def test_subwords_beyond_the_broadcast_limit(spark):
+    draw = random.Random(2)
+    tokens = {"".join(draw.choice("abc") for _ in range(draw.randrange(1, 4))) for _ in range(30)}
+    vocabulary = spark.createDataFrame(
+        [(t, i) for i, t in enumerate(["[UNK]", *tokens, *("##" + t for t in list(tokens)[:20])])], "token string, id bigint")
+    words = spark.createDataFrame([("".join(draw.choice("abcd") for _ in range(draw.randrange(1, 9))),) for _ in range(80)], "word string")
+    broadcast, joined = (
+        {(r["word"], tuple(r["pieces"])) for r in sequences.subwords(words, vocabulary, 7, limit).collect()} for limit in (1 << 20, 0))
+    assert broadcast == joined and any(p != ("[UNK]",) for _, p in joined)
