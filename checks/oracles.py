@@ -247,7 +247,7 @@ ORACLES = {
         SELECT word, unique_id AS linex_index, i::INT AS tok_no, word AS token
         FROM (SELECT word, unique_id, unnest(range(len([x FOR x IN
                   regexp_extract_all(sentence, '{TOKEN}') IF lower(x) = word]))) AS i
-              FROM inputs)""", "inputs"),
+              FROM inputs WHERE word IN ({_list(WORDS)}))""", "inputs"),
     "explode_scored_words": _with(
         "SELECT doc_id, sent_id::INT AS sent_id, word, round(score, 9) AS score FROM scored", "scored"),
     "pack_struct": _with("""

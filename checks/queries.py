@@ -262,7 +262,7 @@ def target_tokens(t):
 
 @query
 def own_word_tokens(t):
-    inputs = t.example_inputs().withColumn(
+    inputs = t.requested_inputs().withColumn(
         "tokens", text.lower_all(text.split_tokens(F.col("sentence")))
     )
     records = vec_ops.feature_records(inputs, None, own_word="word")
@@ -534,10 +534,10 @@ def drop_noise(t):
 
 @query
 def joint_clusters(t):
-    points = t.points().withColumn("all", F.lit("joint"))
-    return flows.place_and_cluster(points, group="all").join(
-        t.points().select("occ_id", "word"), "occ_id"
-    )
+    """Points of several words placed and clustered together."""
+    points = cut_lineage(flows.occurrences_of(t.parsed(), WORDS).withColumn("all", F.lit("joint")))
+    labels = flows.place_and_cluster(points, group="all", key="point_id")
+    return labels.drop("all").join(points.select("point_id", "word"), "point_id")
 
 
 @query

@@ -12,7 +12,7 @@ from lexspark.plans.sizing import Lookup, spread
 
 STOP_LIST = ("the", "of", "and", "to", "in", "a", "is", "it")
 MIN_COUNT = 5
-TOP = 3
+TOP = OUTPUTS_PER_WORD
 WORDS = ("with", "that", "for")
 USAGE_WORD = "with"
 

@@ -11,6 +11,7 @@ from lexspark.operators import corpus, density, layout, neighbours, ranking, vec
 from lexspark.operators.tiles import TILE_ROWS
 from lexspark.operators.vocabulary import effective_vocabulary
 from lexspark.plans.lineage import cut_lineage
+from lexspark.plans.order import with_position
 from lexspark.plans.sizing import Lookup
 from lexspark.sources.lines import top_titles
 
@@ -47,30 +48,44 @@ def pack_struct(ranked: DataFrame) -> DataFrame:
     ).alias("packaged_parse"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Number all occurrences of every word from 1 as ``rank``, in the order of the corpus.
+
+    Only keys are sorted, by ranges; no task holds all occurrences of a word.
+    """
+    keys = ["word", *corpus.KEYS]
+    placed = cut_lineage(with_position(rows.select(*keys), [F.asc(c) for c in keys], "_at"))
+    firsts = Lookup(placed.groupBy("word").agg(F.min("_at").alias("_first")))
+    ranks = firsts.join(placed, "word").select(*keys, (F.col("_at") - F.col("_first") + 1).alias("rank"))
+    return rows.join(ranks, keys)
+
+
 def occurrences_of(
-    sents: DataFrame, words: Sequence[str], k: int = ranking.OUTPUTS_PER_WORD,
+    sents: DataFrame, words: Sequence[str], k: int | None = None,
     width: int = 5, encoder: Callable | None = None,
 ) -> DataFrame:
-    """Best ``k`` occurrences of the requested words with vectors: the points to cluster.
+    """All occurrences of the requested words with vectors, or the best ``k``: the points to cluster.
 
     Sentences without a requested word are dropped before they are scored. ``occ_id`` numbers the points
-    of a word; ``point_id`` tells points of all words apart, as clustering several words together needs.
+    of a word; ``point_id`` (``word-number``) tells points of all words apart, as clustering several
+    words together needs. A sentence is (doc_id, sent_id), given once.
     """
     with_word = sents.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in words])))
     wanted = F.col("word").isin(*words)
-    requested = sents.sparkSession.createDataFrame([(w,) for w in words], "word string")
-    ranked = ranking.top_examples(
-        corpus.scored_tokens(with_word).where(wanted),
-        corpus.scored_tokens(with_word, ["title", "sentence", "words"]).where(wanted),
-        requested, k,
-    )
+    wide = corpus.scored_tokens(with_word, ["title", "sentence"]).where(wanted).join(
+        with_word.select("doc_id", "sent_id", "words"), ["doc_id", "sent_id"])
+    if k is None:
+        ranked = _numbered(cut_lineage(wide))
+    else:
+        requested = sents.sparkSession.createDataFrame([(w,) for w in words], "word string")
+        ranked = ranking.top_examples(corpus.scored_tokens(with_word).where(wanted), wide, requested, k)
     if encoder is None:
         encoded = vectors.context_vectors(vectors.context_around(ranked, width), width)
     else:
         encoded = vectors.encode(ranked.withColumn("target_pos", F.col("tok_id")), encoder)
     return encoded.select(
         "word", (F.col("rank") - 1).alias("occ_id"), "title", "sentence",
-        F.col("score").alias("simplicity"), "vec", F.xxhash64("word", "rank").alias("point_id"),
+        F.col("score").alias("simplicity"), "vec", F.concat_ws("-", "word", "rank").alias("point_id"),
     )
 
 
@@ -117,10 +132,11 @@ def plot_points(points: DataFrame, labels: DataFrame, title: str = "word") -> Da
 
 
 def word_usage(
-    sents: DataFrame, words: Sequence[str], k: int = ranking.OUTPUTS_PER_WORD,
+    sents: DataFrame, words: Sequence[str], k: int | None = None,
     space: str = "layout", encoder: Callable | None = None,
 ) -> DataFrame:
-    """Clustered rows of the requested words: how many distinct usages each has.
+    """Clustered rows of the requested words: how many distinct usages each has. All occurrences are
+    clustered, or the best ``k`` of each word.
 
     ``encoder`` replaces the default vectors by a model's: batches of (words, target position) in,
     vectors out.

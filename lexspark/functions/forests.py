@@ -58,6 +58,14 @@ class Forest:
         return (self.rightmost() - self.leftmost()) / np.repeat(self.sizes, self.sizes)
 
 
+def sentence_rows(batch: pa.RecordBatch, measures: list[str]) -> pa.RecordBatch:
+    """The batch with one more column of arrays per measure; its last column holds the heads."""
+    forest = Forest(batch.columns[-1])
+    offsets = pa.array(np.r_[0, np.cumsum(forest.sizes)].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(getattr(forest, m)())) for m in measures]
+    return pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], [*batch.schema.names[:-1], *measures])
+
+
 def token_rows(batch: pa.RecordBatch, measures: list[str]) -> pa.RecordBatch:
     """One row per token: the columns of its sentence, its place, its word, and the measures asked for.
 

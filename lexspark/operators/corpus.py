@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexspark.functions import text, trees
-from lexspark.functions.forests import token_rows
+from lexspark.functions.forests import sentence_rows, token_rows
 from lexspark.plans.sizing import Lookup
 
 KEYS = ("doc_id", "sent_id", "tok_id")
@@ -88,15 +88,19 @@ def measured_tokens(sents: DataFrame, measures: Sequence[str], carry: Sequence[s
     """One row per token with measures of its place in the tree: ``ancestors``, ``children`` (whole
     numbers), ``simplicity``, ``coverage`` (shares).
 
-    All sentences of an Arrow batch are measured at once, and their tokens leave it as rows. The batch
-    is cut so that a part holds about ``TOKENS_PER_PART`` tokens; a longer sentence is one part.
+    All sentences of an Arrow batch are measured at once. The batch is cut so that a part holds about
+    ``TOKENS_PER_PART`` tokens; a longer sentence is one part. Tokens leave it as rows, but with
+    columns to carry as arrays, which are exploded later: a batch never holds a text once per token.
     """
-    whole = {"ancestors", "children"}
-    read = sents.select("doc_id", "sent_id", *carry, "words", "heads")
-    schema = T.StructType([
-        *read.schema.fields[:-2], T.StructField("tok_id", T.IntegerType()), T.StructField("word", T.StringType()),
-        *[T.StructField(m, T.LongType() if m in whole else T.DoubleType()) for m in measures]])
     names = list(measures)
+    types = [T.LongType() if m in ("ancestors", "children") else T.DoubleType() for m in names]
+    read = sents.select("doc_id", "sent_id", *carry, "words", "heads")
+    given = read.schema.fields
+    if carry:
+        made, build = [*given[:-1], *[T.StructField(m, T.ArrayType(t)) for m, t in zip(names, types, strict=True)]], sentence_rows
+    else:
+        made, build = [*given[:-2], T.StructField("tok_id", T.IntegerType()), T.StructField("word", T.StringType()),
+                       *map(T.StructField, names, types)], token_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,10 +109,15 @@ def measured_tokens(sents: DataFrame, measures: Sequence[str], carry: Sequence[s
             while start < len(batch):
                 before = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, before + TOKENS_PER_PART, "right")))
-                yield token_rows(batch.slice(start, stop - start), names)
+                yield build(batch.slice(start, stop - start), names)
                 start = stop
 
-    return read.mapInArrow(run, schema)
+    rows = read.mapInArrow(run, T.StructType(made))
+    if not carry:
+        return rows
+    return rows.select(
+        "doc_id", "sent_id", *carry, F.posexplode(F.arrays_zip("words", *names)).alias("tok_id", "_t")).select(
+        "doc_id", "sent_id", "tok_id", *carry, F.col("_t.words").alias("word"), *[f"_t.{m}" for m in names])
 
 
 def scored_tokens(
