@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import base64
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexspark.llm.byte_pairs import Codec
 from lexspark.plans.lineage import scratch_path
 from lexspark.plans.order import ranges
 from lexspark.plans.sizing import Lookup
@@ -21,12 +19,10 @@ from lexspark.plans.sizing import Lookup
 SEQUENCE_TOKENS = 256
 SHARD_ROWS = 4096
 ROUNDS = 6
-CACHE_WORDS = 200_000
 #: Token ids are most of what is written; this takes a quarter less of the disk than the default.
 COMPRESSION = "zstd"
 #: A record: doc_id, sequence number, tokens, 1 if there is no doc_id; then the token ids.
 HEADER = np.dtype([("doc_id", "<i8"), ("seq_no", "<u4"), ("n_tokens", "<u2"), ("no_id", "<u2")])
-_CUT = re.compile(r"(?<=\S)(?= \S)")
 _MASK = (1 << 64) - 1
 
 
@@ -74,30 +70,23 @@ class Permutation:
 
 
 @lru_cache(2)
-def encoding(path: str, pattern: str) -> tiktoken.Encoding:
+def codec(path: str, pattern: str) -> Codec:
     with open(path, "rb") as file:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file)}
-    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        return Codec(file.read(), pattern)
 
 
 class Encoder:
-    """Token ids of texts as 16-bit numbers.
-
-    A space between two words begins a part of its own, so words are encoded once and looked up.
-    """
+    """Token ids of texts as 16-bit numbers, with an end token; larger vocabularies are refused."""
 
     def __init__(self, path: str, pattern: str):
-        self.encoding = encoding(path, pattern)
-        self.end = np.array([self.encoding.n_vocab], "<u2").tobytes()
-        self.known: dict[str, bytes] = {}
+        self.codec = codec(path, pattern)
+        n = self.codec.split.n_vocab
+        if n >= 1 << 16:
+            raise ValueError(f"{path} has {n} tokens; ids are written as 16-bit numbers")
+        self.end = np.array([n], "<u2").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        parts = _CUT.split(text)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for part in set(parts).difference(self.known):
-            self.known[part] = np.array(self.encoding.encode_ordinary(part), "<u2").tobytes()
-        return b"".join([*map(self.known.__getitem__, parts), self.end])
+        return self.codec.encode(text).astype("<u2").tobytes() + self.end
 
 
 SEQUENCES = ("row bigint, doc_id bigint, text_hash bigint, seq_no int, n_seqs int, n_tokens int, ids binary")
@@ -117,18 +106,18 @@ def _sequences(path: str, pattern: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(path, pattern)
         for batch in batches:
-            rows, ids, hashes, texts = (c.to_pylist() for c in batch.columns)
-            for a in range(0, len(rows), 500):
-                encoded = [encode(t or "") for t in texts[a:a + 500]]
+            for a in range(0, len(batch), 500):
+                part = batch.slice(a, 500)
+                encoded = [encode(t or "") for t in part.column(3).to_pylist()]
                 sizes = np.array([len(e) // 2 for e in encoded], np.int64)
                 many = -(-sizes // length)
                 owner = np.repeat(np.arange(len(encoded)), many)
                 seq = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
                 # the end token also fills the last sequence
                 data = b"".join(e + encode.end * int(m * length - s) for e, m, s in zip(encoded, many, sizes))
-                column = lambda values: pa.array([values[a + i] for i in owner.tolist()], pa.int64())
+                from_row = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([
-                    column(rows), column(ids), column(hashes), pa.array(seq.astype(np.int32)),
+                    *[c.take(from_row) for c in part.columns[:3]], pa.array(seq.astype(np.int32)),
                     pa.array(many[owner].astype(np.int32)),
                     pa.array(np.minimum(sizes[owner] - seq * length, length).astype(np.int32)),
                     _fixed(data, 2 * length),
@@ -174,29 +163,40 @@ def _slotted(permutation: Permutation, fields: list[str]):
 SHARDS = "shard bigint, first_slot bigint, n_rows int, stride int, payload binary, crc32 bigint"
 
 
+def _matrix(column: pa.BinaryArray) -> np.ndarray:
+    """The bytes of values of one width, a row each, without a copy."""
+    start, stop = (np.frombuffer(column.buffers()[1], np.int32)[i] for i in (column.offset, column.offset + len(column)))
+    return np.frombuffer(column.buffers()[2], np.uint8)[start:stop].reshape(len(column), -1)
+
+
 def _shards(shard_rows: int):
-    def packed(shard: int, parts: list[bytes]) -> pa.RecordBatch:
-        payload = b"".join(parts)
+    def packed(shard: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        payload = b"".join([p.tobytes() for p in parts])
         return pa.RecordBatch.from_arrays([
             pa.array([shard], pa.int64()), pa.array([shard * shard_rows], pa.int64()),
-            pa.array([len(parts)], pa.int32()), pa.array([len(parts[0])], pa.int32()),
+            pa.array([sum(map(len, parts))], pa.int32()), pa.array([parts[0].shape[1]], pa.int32()),
             pa.array([payload], pa.binary()), pa.array([zlib.crc32(payload)], pa.int64()),
         ], _names(SHARDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = -1, []
         for batch in batches:
+            if not len(batch):
+                continue
             slots, ids, seqs, tokens, data = batch.columns
             head = np.zeros(len(batch), HEADER)
             head["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
             head["seq_no"], head["n_tokens"] = seqs.to_numpy(), tokens.to_numpy()
             head["no_id"] = ids.is_null().to_numpy(zero_copy_only=False)
-            for slot, h, d in zip(slots.to_pylist(), head, data.to_pylist(), strict=True):
-                if slot // shard_rows != now:
+            records = np.hstack([head.view(np.uint8).reshape(len(batch), -1), _matrix(data)])
+            shard = slots.to_numpy() // shard_rows
+            borders = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]).tolist()
+            for at, stop in zip(borders, [*borders[1:], len(batch)], strict=True):
+                if shard[at] != now:
                     if parts:
                         yield packed(now, parts)
-                    now, parts = slot // shard_rows, []
-                parts.append(h.tobytes() + d)
+                    now, parts = int(shard[at]), []
+                parts.append(records[at:stop])
         if parts:
             yield packed(now, parts)
 
@@ -246,15 +246,17 @@ def _records(start: int, stop: int):
                 for low in range(a, b, 512):
                     part = np.ascontiguousarray(raw[low:min(b, low + 512)])
                     head = np.ascontiguousarray(part[:, :HEADER.itemsize]).view(HEADER).ravel()
-                    ids = np.ascontiguousarray(part[:, HEADER.itemsize:]).view("<u2").astype(np.int32)
+                    body = np.ascontiguousarray(part[:, HEADER.itemsize:])
+                    ids, sizes = body.view("<u2"), head["n_tokens"].astype(np.int32)
                     places = np.arange(low, low + len(part))
-                    tokens = [i[:k] for i, k in zip(ids, head["n_tokens"])]
+                    used = np.arange(ids.shape[1]) < sizes[:, None]
+                    tokens = pa.ListArray.from_arrays(
+                        np.r_[0, np.cumsum(sizes)].astype(np.int32), pa.array(ids[used].astype(np.int32)))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(places + first), pa.array([row["shard"]] * len(part), pa.int64()),
                         pa.array(places * stride), pa.array(head["doc_id"], mask=head["no_id"] == 1),
-                        pa.array(head["seq_no"].astype(np.int32)), pa.array(head["n_tokens"].astype(np.int32)),
-                        pa.array(tokens, pa.list_(pa.int32())),
-                        pa.array([zlib.crc32(t.astype("<u2").tobytes()) for t in tokens], pa.int64()),
+                        pa.array(head["seq_no"].astype(np.int32)), pa.array(sizes), tokens,
+                        pa.array([zlib.crc32(t[:2 * k]) for t, k in zip(body, sizes.tolist(), strict=True)], pa.int64()),
                     ], _names(RECORDS))
 
     return run
@@ -263,6 +265,9 @@ def _records(start: int, stop: int):
 def read_training_order(spark, target: str, start: int = 0, stop: int | None = None) -> DataFrame:
     """RECORDS of the slots from ``start`` to ``stop``, of whose shards alone the payload is read."""
     stop = 1 << 62 if stop is None else stop
-    shards = spark.read.schema(SHARDS).parquet(target).where(
-        (F.col("first_slot") < stop) & (F.col("first_slot") + F.col("n_rows") > start))
+    shards = spark.read.schema(SHARDS).parquet(target)
+    most = shards.agg(F.max("n_rows")).first()[0] or 0
+    # the first two conditions reach the scan, which passes over files and row groups by their least and largest slots
+    shards = shards.where((F.col("first_slot") < stop) & (F.col("first_slot") > start - most)
+                          & (F.col("first_slot") + F.col("n_rows") > start))
     return shards.mapInArrow(_records(start, stop), RECORDS)

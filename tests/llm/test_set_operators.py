@@ -266,7 +266,7 @@ def test_training_order(spark, tmp_path):
     target = str(tmp_path / "order")
     training_order.write_training_order(docs, target, path, public_tokenizers.PATTERN, 5, length, 64)
     got = training_order.read_training_order(spark, target).collect()
-    encoder = training_order.encoding(path, public_tokenizers.PATTERN)
+    encoder = training_order.codec(path, public_tokenizers.PATTERN).split
     wanted = Counter()
     for doc_id, text, *_ in rows:
         ids = [*encoder.encode_ordinary(text or ""), 50256]
