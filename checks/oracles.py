@@ -336,6 +336,30 @@ ORACLES = {
         SELECT doc_id, sent_id::INT AS sent_id, tok_id::INT AS tok_id, {layer}::INT AS layer, vec
         FROM ({_vectors(width, '(' + _list(WORDS) + ')')})"""
         for layer, width in LAYER_WIDTHS.items()), "toks", "codes"),
+    "model_features": _with(f"""
+        , wanted AS (
+            SELECT unique_id, word, [lower(x) FOR x IN regexp_extract_all(text_a, '{TOKEN}')] AS a,
+                   [lower(x) FOR x IN regexp_extract_all(text_b, '{TOKEN}')] AS b
+            FROM inputs WHERE word IN ({_list(WORDS)})
+        ), cut AS (
+            SELECT unique_id, word,
+                a[1:CASE WHEN coalesce(len(b), 0) = 0 THEN 126 WHEN len(a) + len(b) <= 125 THEN len(a)
+                         WHEN len(a) <= 63 THEN len(a) WHEN len(b) <= 62 THEN 125 - len(b) ELSE 63 END] AS a,
+                CASE WHEN len(b) > 0 THEN
+                b[1:CASE WHEN len(a) + len(b) <= 125 THEN len(b)
+                         WHEN len(a) <= 63 THEN 125 - len(a) WHEN len(b) <= 62 THEN len(b) ELSE 62 END] END AS b
+            FROM wanted
+        ), packed AS (
+            SELECT unique_id, word, len(a) + 2 AS n_a, coalesce(len(b) + 1, 0) AS n_b,
+                list_concat(['[CLS]'], a, ['[SEP]'], CASE WHEN b IS NULL THEN [] ELSE list_concat(b, ['[SEP]']) END) AS tokens
+            FROM cut
+        ), places AS (
+            SELECT *, unnest(range(1, len(tokens) + 1)) AS i FROM packed
+        )
+        SELECT unique_id AS linex_index,
+            (row_number() OVER (PARTITION BY unique_id ORDER BY i) - 1)::INT AS tok_no, word AS token, 1::INT AS n_layers,
+            concat_ws(' ', coalesce(id, 1), i - 1, n_a + n_b, CASE WHEN i > n_a THEN 1 ELSE 0 END) AS values
+        FROM places LEFT JOIN token_vocab ON token = tokens[i] WHERE tokens[i] = word""", "inputs", "token_vocab"),
     "knn_graph": _with("""
         SELECT word, occ_id, rank::INT AS rank, other, round(distance, 6) AS distance
         FROM near WHERE rank <= 80""", "near"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from checks.tables import USAGE_WORD, WORDS, Tables, millionths
 from lexspark import flows
 from lexspark.functions import sequences as seq
 from lexspark.functions import text, vectors
-from lexspark.operators import blocks, corpus, density, layout, neighbours, runs, sequences, vocabulary
+from lexspark.operators import blocks, corpus, density, layout, model, neighbours, runs, sequences, vocabulary
 from lexspark.operators import vectors as vec_ops
 from lexspark.operators.ranking import SUITABILITY_SCALE
 from lexspark.plans.lineage import cut_lineage
@@ -455,6 +456,30 @@ def vector_layers(t):
              _sparse(F.col("values")).alias("vec"))
 
 
+def _toy_encoder(batches):
+    """A model whose values say what it was given: id, position, tokens of the sequence, segment; two layers."""
+    for batch in batches:
+        position = np.broadcast_to(np.arange(batch.input_ids.shape[1]), batch.input_ids.shape)
+        n_tokens = np.broadcast_to(batch.input_mask.sum(axis=1, keepdims=True), batch.input_ids.shape)
+        layer = np.stack([batch.input_ids, position, n_tokens, batch.input_type_ids], axis=2) / 8
+        yield np.stack([layer, -layer], axis=1)
+
+
+@query
+def model_features(t):
+    """Features of the requested words from a model fed with packed sequences."""
+    inputs = t.requested_inputs()
+    rows = inputs.select("unique_id", *[
+        text.lower_all(text.split_tokens(F.col(c))).alias(f"tokens_{c[-1]}") for c in ("text_a", "text_b")])
+    packed = sequences.pack(rows, t.token_vocabulary()).join(inputs.select("unique_id", "word", "sentence"), "unique_id")
+    records = model.model_features(packed, _toy_encoder, indexes=(-1, -2), own_word="word")
+    values = F.get("feature.layers", F.lit(0))["values"]
+    return feature_files.own_word_tokens(records).select(
+        "linex_index", "tok_no", F.col("feature.token").alias("token"),
+        F.size("feature.layers").alias("n_layers"),
+        F.array_join(F.transform(values, lambda v: (v * 8).cast("bigint")), " ").alias("values"))
+
+
 @query
 def knn_graph(t):
     return neighbours.neighbour_edges(neighbours.knn(t.points())).withColumn(

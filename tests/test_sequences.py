@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from lexspark.functions import sequences as S
 from lexspark.functions import vectors as V
 from lexspark.functions.pieces import build_trie, match
-from lexspark.operators import sequences, vectors
+from lexspark.operators import model, sequences, vectors
 
 
 def cut_one_by_one(a, b, limit):
@@ -198,3 +199,32 @@ def test_subwords_beyond_the_broadcast_limit(spark):
     broadcast, joined = (
         {(r["word"], tuple(r["pieces"])) for r in sequences.subwords(words, vocabulary, 7, limit).collect()} for limit in (1 << 20, 0))
     assert broadcast == joined and any(p != ("[UNK]",) for _, p in joined)
+
+
+def ids_and_places(batches):
+    for batch in batches:
+        places = np.broadcast_to(np.arange(batch.input_ids.shape[1]), batch.input_ids.shape)
+        layer = np.stack([batch.input_ids, places, batch.input_mask, batch.input_type_ids], axis=2) + 0.1234567
+        yield np.stack([layer, layer * 2], axis=1)
+
+
+def test_model_features(spark):
+    words = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "the", "dog", "un", "##do"]
+    vocabulary = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "token string, id bigint")
+    examples = [("dog", "dog-0", "the Dog the dog", None), ("undo", "undo-0", "undo the dog", None),
+                ("dog", "dog-1", "the " * 9 + "dog", None), ("dog", "dog-2", "the", "dog")]
+    inputs = spark.createDataFrame([(*e, e[2]) for e in examples], "word string, unique_id string, text_a string, text_b string, sentence string")
+    packed = model.packed_examples(inputs, vocabulary, max_len=8)
+    got = {r["linex_index"]: [(f["token"], [(x["index"], x["values"]) for x in f["layers"]]) for f in r["features"]]
+           for r in model.model_features(packed, ids_and_places, own_word="word", batch_size=3).collect()}
+    plus = [0.123457] * 4
+    assert got["dog-0"] == [("dog", [(-1, [round(a + b, 6) for a, b in zip((5, i, 1, 0), plus)])]) for i in (2, 4)]
+    # split into pieces, cut off, in the second segment
+    assert got["undo-0"] == [] and got["dog-1"] == []
+    assert got["dog-2"] == [("dog", [(-1, [round(a + b, 6) for a, b in zip((5, 3, 1, 1), plus)])])]
+    chosen = {r["linex_index"]: [f["token"] for f in r["features"]]
+              for r in model.model_features(packed, ids_and_places, ["the", "##do"]).collect()}
+    assert chosen == {"dog-0": ["the", "the"], "undo-0": ["##do", "the"], "dog-1": ["the"] * 6, "dog-2": ["the"]}
+    whole = model.model_features(packed, ids_and_places, full_output=True, indexes=(-1, -2)).where("linex_index = 'dog-2'").first()
+    assert [f["token"] for f in whole["features"]] == ["[CLS]", "the", "[SEP]", "dog", "[SEP]"]
+    assert [x["index"] for x in whole["features"][0]["layers"]] == [-1, -2]

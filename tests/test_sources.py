@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,9 +70,57 @@ def test_nothing_is_cut_without_a_limit(spark, tmp_path):
     assert lines.top_titles(lines.read_title_weights(spark, weights)).count() == 2
 
 
-def test_unclosed_last_article_is_kept_when_split(spark, tmp_path):
-    path = write(tmp_path, "f", '<doc title="A">\nx\n</doc>\n<doc title="B">\nopen')
-    assert read(spark, path, splittable=True) == [("A", "x"), ("B", "open")]
+EDGES = [
+    '<doc title="A">\nx\n</doc>\n<doc title="B">\nopen', '<doc title="A">\nx\n</doc>\n<doc title="B">\nopen\n  \n',
+    '<doc title="A">\nonly\n\nopen\n\n', '<doc title="A">\nx\n</doc> <doc title="B">\ny\n</doc>',
+    '<doc title="A">\na </doc> b </doc>\nc</doc></doc>\n </doc>\n<doc title="B">\n</doc>', 'text only\n', '',
+    '</doc>\n<doc title="A">\nx\n</doc></doc>\n</doc>\n<doc title="B">\ny </doc>', '<doc title="A">\nx\nsee </doc>',
+    '  <doc title="A">\n x \t\n  </doc>  \nlost\n\t<doc title="B">\n  y\n\t</doc>', '<doc title="A"></doc>\n<doc title="B">\nü\n</doc>\n',
+]
+
+
+def edge_articles(content, first_only=False):
+    """The lines one by one."""
+    out, lines_, title, inside = [], [], None, False
+    for line in content.rstrip().split("\n"):
+        bare = line.strip(" \t")
+        if bare.startswith("<doc"):
+            title, lines_, inside = bare.split('title="')[1].split('"')[0], [], True
+        elif bare.startswith("</doc>"):
+            if inside:
+                out.append((title, " ".join(lines_)))
+            inside = False
+        else:
+            lines_.append(line.strip())
+    if not first_only:
+        return out
+    return out[:1] or ([(title, " ".join(lines_))] if inside else [])
+
+
+@pytest.mark.parametrize("first_only", [False, True])
+@pytest.mark.parametrize("splittable", [False, True])
+def test_edges_of_whole_and_split_files(spark, tmp_path, splittable, first_only):
+    for i, content in enumerate(EDGES):
+        write(tmp_path, f"f{i:02d}", content)
+    got = articles.read_articles(spark, str(tmp_path), first_only=first_only, splittable=splittable).orderBy("file", "ord").collect()
+    assert [(r["title"], r["article"]) for r in got] == [a for c in EDGES for a in edge_articles(c, first_only)]
+
+
+def test_articles_across_the_borders_of_splits(spark, tmp_path):
+    rng = random.Random(6)
+    parts = [f'<doc title="{i}">\n' + "".join(rng.choice(["word ", "see </doc> here ", "\n", " </doc>x", "é "])
+             for _ in range(rng.randrange(40))) + "\n</doc>\n" for i in range(60)]
+    content = "".join(parts)
+    path = write(tmp_path, "f", content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (97, 256, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            assert read(spark, path, splittable=True) == edge_articles(content)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_manifest_keeps_order_and_limit(spark, tmp_path):
