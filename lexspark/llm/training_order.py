@@ -209,7 +209,8 @@ def write_training_order(
 ) -> None:
     """Write the token sequences of ``docs`` (doc_id, text) to ``target`` in training order.
 
-    ``path`` names a byte-level BPE vocabulary of ranks and ``pattern`` its parts. Each text is
+    ``path`` names a byte-level BPE vocabulary of ranks and ``pattern`` its parts; ids are 16-bit numbers,
+    so one of 65,536 tokens or more is refused. Texts of any length are encoded whole. Each text is
     followed by the end token, which also fills its last sequence. Sequences are numbered by doc_id,
     and the permutation of ``key`` gives each its slot: one key gives one order, however
     rows are stored. Slot ``s`` is record ``s % shard_rows`` of shard ``s // shard_rows``; records have one
