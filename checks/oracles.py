@@ -191,6 +191,8 @@ ORACLES = {
     "src_articles_splittable": _ARTICLES,
     "src_manifest_articles": _ARTICLES + """
         WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source LIMIT 10)""",
+    "first_article_per_file": _ARTICLES + """
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) = 1""",
     "parse_doc_title": "SELECT doc_id, source || ' ' || doc_id AS title FROM documents",
     "src_vocab": _with("SELECT DISTINCT word FROM toks", "toks"),
     "src_stopwords": _with("""

@@ -38,7 +38,7 @@ def _r9(column: str):
 
 
 def _extractor_text(t: Tables) -> DataFrame:
-    return t.articles().select("source", F.concat(
+    return t.articles().select("source", "doc_id", F.concat(
         F.lit('<doc id="'), "doc_id", F.lit('" url="u'), "doc_id", F.lit('" title="'), "title",
         F.lit('">\n'), "article", F.lit("\n</doc>"),
     ).alias("value"))
@@ -61,7 +61,7 @@ def src_articles_splittable(t):
 @query
 def src_manifest_articles(t):
     path = t.scratch("files")
-    _extractor_text(t).write.partitionBy("source").text(path)
+    _extractor_text(t).drop("doc_id").write.partitionBy("source").text(path)
     listed = t.scratch("manifest")
     t.articles().select("source").distinct().select(
         F.concat(F.lit("source="), "source").alias("value")
@@ -72,8 +72,10 @@ def src_manifest_articles(t):
 
 @query
 def first_article_per_file(t):
+    """One file per source, its articles in the order of their ids."""
     path = t.scratch("articles")
-    _extractor_text(t).select("value").write.text(path)
+    _extractor_text(t).repartition("source").sortWithinPartitions("source", "doc_id").select(
+        "source", "value").write.partitionBy("source").text(path)
     return article_files.read_articles(t.spark, path, first_only=True).select("title", "article")
 
 

@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.binding import let
 from lexspark.functions.text import doc_title, trim_space
-from lexspark.plans.lineage import cut_lineage
-from lexspark.plans.sizing import Lookup
+from lexspark.sources import splits
 
 _OPEN = r"(?m)^[ \t]*<doc"
 _BLOCK = r"(?ms)^[ \t]*<doc.*?^[ \t]*</doc>"
 _CLOSE = r"(?m)^[ \t]*</doc>"
 _BLANK_END = r"\s*\z"
-SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def _join_lines(body: Column) -> Column:
@@ -48,12 +46,11 @@ def read_articles(
     ``first_only`` the first article of each file is read, also if it is not closed.
 
     Files are read whole, one row each, or with ``splittable`` by several tasks each, in two passes;
-    both give the same articles. By default they are split if one is larger than ``SPLIT_BYTES``.
+    both give the same articles. By default they are split if one is larger than a split.
     ``ord`` orders the articles of a file; it is a number, or a pair of numbers for split files.
     """
     if splittable is None:
-        sizes = spark.read.format("binaryFile").load(paths).agg(F.max("length")).first()
-        splittable = (sizes[0] or 0) > SPLIT_BYTES
+        splittable = splits.worth_splitting(spark, paths)
     pieces = (_split_pieces if splittable else _whole_pieces)(spark, paths)
     kept = pieces if first_only else pieces.where("closed")
     articles = kept.select("file", "ord", _title_and_article(F.col("block")).alias("_a")).select(
@@ -76,53 +73,17 @@ def _whole_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _split_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The same of split files.
-
-    A record ends at any closing mark, also inside a line, or at the end of its file. The first pass
-    finds the few records that are not simply closed: those that end inside a line, to which the next
-    one belongs, perhaps the first of the next split; those before which no line begins; and a file's
-    last one, if the lengths of all records show that no closing mark followed it.
-    """
-    records = spark.read.option("lineSep", "</doc>").text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
-        F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), "value")
-    ends_line = F.col("value").rlike(r"\n[ \t]*\z")
-    narrow = records.select("file", "bytes", "split", "at", (F.octet_length("value") + 6).alias("n"), ends_line.alias("ends"))
-    splits = cut_lineage(narrow.groupBy("file", "split").agg(
-        F.min("at").alias("first"), F.max("at").alias("last"), F.sum("n").alias("n"), F.max("bytes").alias("bytes")))
-    files = splits.groupBy("file").agg(
-        F.min_by("first", "split").alias("first"), F.max_by("last", "split").alias("last"),
-        (F.sum("n") != F.max("bytes")).alias("open"))
-    after = splits.select("file", "split", "last", F.lead("first").over(Window.partitionBy("file").orderBy("split")).alias("_next"))
-    inside = narrow.where(~F.col("ends")).join(files, "file").where(
-        (F.col("at") != F.col("last")) | ~F.col("open")).drop("last").join(after, ["file", "split"]).select(
-        "file", "split", "at", F.when(F.col("at") == F.col("last"), F.col("_next")).otherwise(F.col("at") + 1).alias("next"))
-    order = Window.partitionBy("file").orderBy("split", "at")
-    begins = F.coalesce(F.lag("next").over(order) != F.col("at"), F.lit(True))
-    chains = cut_lineage(inside.withColumn("root", F.when(begins, F.col("at"))).withColumn(
-        "root", F.last("root", ignorenulls=True).over(order)))
-    nothing, no = F.lit(None).cast("bigint"), F.lit(False)
-
-    def mark(rows: DataFrame, at: str, root: Column = nothing, first: Column = no, open_: Column = no, last: Column = no) -> DataFrame:
-        return rows.select(F.col(at).alias("at"), root.alias("root"), first.alias("first"), open_.alias("open"), last.alias("last"))
-
-    special = mark(chains, "at", F.col("root"), last=F.col("next").isNull()).unionByName(
-        mark(chains.where("next IS NOT NULL"), "next", F.col("root"))).unionByName(
-        mark(files, "first", first=F.lit(True))).unionByName(mark(files.where("open"), "last", open_=F.lit(True)))
-    marked = Lookup(special.groupBy("at").agg(*[F.max(c).alias(c) for c in ("root", "first", "open", "last")])).join(records, "at", "left")
-    closed = ends_line & ~F.coalesce("open", no)
-    # a record that is not the first of its file does not begin a line; the last one may end in a mark inside one
-    value = F.concat(F.when(F.coalesce("first", no) | (F.col("at") > F.col("root")), "").otherwise("\x01"), "value",
-                     F.when(F.coalesce("last", no), "</doc>").otherwise(""))
-    place = F.struct("split", "at")
-    alone = marked.where("root IS NULL").select("file", place.alias("ord"), value.alias("block"), closed.alias("closed"))
-    merged = marked.where("root IS NOT NULL").groupBy("file", "root").agg(
-        F.sort_array(F.collect_list(F.struct(place.alias("place"), value.alias("value")))).alias("_p"),
-        F.max(closed).alias("closed")).select(
-        "file", F.get("_p.place", F.lit(0)).alias("ord"), F.array_join("_p.value", "</doc>").alias("block"), "closed")
+    """The same of split files: a closing mark counts at the beginning of a line."""
+    records = splits.read_records(spark, paths, "</doc>")
+    narrow = records.select("file", "bytes", "split", "at", (F.octet_length("value") + 6).alias("n"),
+                            (~F.col("value").rlike(r"\n[ \t]*\z")).alias("goes_on"))
+    texts = splits.whole_texts(records, narrow, "</doc>")
+    # only the first text of a file begins a line
+    block = F.when(F.col("first"), F.col("value")).otherwise(F.concat(F.lit("\x01"), "value"))
     # spaces before a closing mark belong to its line; an unclosed end is stripped
-    return alone.unionByName(merged).where(F.col("block").rlike(_OPEN)).withColumn("block", F.when(
-        F.col("closed"), F.regexp_replace("block", r"[ \t]*\z", "")).otherwise(F.regexp_replace("block", _BLANK_END, "")))
+    end = F.when(F.col("closed"), r"[ \t]*\z").otherwise(_BLANK_END)
+    return texts.select("file", "ord", block.alias("block"), "closed").where(F.col("block").rlike(_OPEN)).withColumn(
+        "block", F.regexp_replace(F.col("block"), end, F.lit("")))
 
 
 def read_manifest_articles(

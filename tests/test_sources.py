@@ -212,3 +212,26 @@ def test_titles_pairs_and_ids(spark):
     ]
     words = spark.range(1).select(text.requested_words("queen-king-queen")).first()[0]
     assert words == ["queen", "king"]
+
+
+@pytest.mark.parametrize("indent", [None, 1, 4])
+def test_examples_documents_of_any_shape(spark, tmp_path, indent):
+    """Brackets, quotes and backslashes inside strings, several splits, requested words."""
+    rng = random.Random(7)
+    document = {word: [{"string": "".join(rng.choice(["a ]", "],", '"', "\\\\", '\\"]', "}], ", "é", " x"]) for _ in range(rng.randrange(9))),
+                        "wiki_title": rng.choice(["T", "]", '\\"'])} for _ in range(rng.randrange(4))]
+                for word in [*"abcdefgh", 'q"]', "ü", "back\\slash"]}
+    path = write(tmp_path, "doc", json.dumps(document, indent=indent))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        for size in ("61", "400", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            for words in (None, ["b", "ü", 'q"]', "none"]):
+                for splittable in (True, False):
+                    got = examples.read_examples_document(spark, path, words=words, splittable=splittable).collect()
+                    assert {r["word"]: [e.asDict() for e in r["examples"]] for r in got} == {
+                        w: e for w, e in document.items() if words is None or w in words}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
