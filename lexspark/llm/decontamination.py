@@ -16,10 +16,10 @@ from lexspark.llm.perplexity import chunks, pieces
 from lexspark.llm.quality import contained
 from lexspark.llm.words import SPACES
 
-Q = 8
+#: Lengths of grams; an item has the longest of which a match must share enough, half its length.
+QS = (8, 4, 2, 1)
 EDIT_RATE = 0.1
-MIN_CHARS = 40
-MIN_SHARED = 4
+LISTED = 1 << 21
 BLOCK_CHARS = 8 << 20
 CHUNK_CHARS = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -51,18 +51,25 @@ def folded(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[keep], keep
 
 
-def grams(codes: np.ndarray) -> np.ndarray:
+def grams(codes: np.ndarray, q: int) -> np.ndarray:
     """Each q-gram as one number, of eight bits per character; different ones may rarely agree."""
-    one = np.where(codes < 128, codes, 128 + codes % 128).astype(np.uint64)
-    two = one[:-1] | one[1:] << np.uint64(8)
-    four = two[:-2] | two[2:] << np.uint64(16)
-    return four[:-4] | four[4:] << np.uint64(32)
+    out, width = np.where(codes < 128, codes, 128 + codes % 128).astype(np.uint64), 1
+    while width < q:
+        out, width = out[:-width] | out[width:] << np.uint64(8 * width), 2 * width
+    return out
+
+
+def shared_grams(size: int, edits: int) -> tuple[int, int]:
+    """(q, the q-grams of an item of ``size`` characters that a match with ``edits`` edits shares at least)."""
+    # the lemma: an edit takes part in q grams at most
+    return next(((q, n) for q in QS if (n := size - q + 1 - q * edits) >= max(1, q // 2)), (0, 0))
 
 
 @dataclass
 class Index:
-    """The q-grams of a block of benchmark items."""
+    """The q-grams of those items of a block that have grams of one length."""
 
+    q: int
     ids: list[int | None]
     items: list[np.ndarray]
     edits: np.ndarray
@@ -75,29 +82,20 @@ class Index:
     bits: int
 
     @classmethod
-    def build(cls, rows: list[tuple[int, str]], edit_rate: float) -> Index:
-        table = fold_table()
-        ids, items = [], []
-        for item_id, text in rows:
-            codes = folded([text], table)[0][:-1]
-            codes = codes[np.argmax(codes != 32):] if len(codes) else codes
-            codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
-            if len(codes) >= MIN_CHARS:
-                ids.append(item_id)
-                items.append(codes)
+    def build(cls, rows: list[tuple[int | None, np.ndarray]], q: int, edit_rate: float) -> Index:
+        ids, items = [r[0] for r in rows], [r[1] for r in rows]
         sizes = np.array([len(c) for c in items], np.int64)
-        # the lemma: a match with e edits shares len - q + 1 - q * e of the item's q-grams
-        edits = np.minimum((sizes * edit_rate).astype(np.int64), (sizes - Q + 1 - MIN_SHARED) // Q)
-        found = [grams(c) for c in items] or [np.empty(0, np.uint64)]
+        edits = (sizes * edit_rate).astype(np.int64)
+        found = [grams(c, q) for c in items]
         every = np.concatenate(found)
-        item = np.repeat(np.arange(len(items)), np.maximum(sizes - Q + 1, 0))
+        item = np.repeat(np.arange(len(items)), sizes - q + 1)
         offset = np.concatenate([np.arange(len(g)) for g in found])
         order = np.argsort(every, kind="stable")
         every = every[order]
-        first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.empty(0, int)
-        return cls(ids, items, edits, sizes - Q + 1 - Q * edits, every[first], first,
+        first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        return cls(q, ids, items, edits, sizes - q + 1 - q * edits, every[first], first,
                    np.diff(np.r_[first, len(every)]), item[order], offset[order],
-                   int(min(26, max(16, np.ceil(np.log2(max(1, len(first)) * 32))))))
+                   int(min(26, max(16, np.ceil(np.log2(len(first) * 32))))))
 
     def bitmap(self) -> np.ndarray:
         out = np.zeros(1 << self.bits, bool)
@@ -105,32 +103,58 @@ class Index:
         return out
 
 
+def indexes(rows: list[tuple[int | None, str]], edit_rate: float) -> list[Index]:
+    """The indexes of a block of items, one for each length of grams that is in use."""
+    if not 0 <= edit_rate < 1:
+        raise ValueError("edit_rate must be at least 0 and below 1")
+    table, by_q = fold_table(), {}
+    for item_id, text in rows:
+        codes = folded([text], table)[0][:-1]
+        codes = codes[np.argmax(codes != 32):] if len(codes) else codes
+        codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
+        q, _ = shared_grams(len(codes), int(len(codes) * edit_rate))
+        if q:
+            by_q.setdefault(q, []).append((item_id, codes))
+    return [Index.build(own, q, edit_rate) for q, own in by_q.items()]
+
+
+def _listed(index: Index, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(item and band, offset) of the postings of the grams at ``at``, some two million at a time."""
+    stride = index.edits + 1
+    shift = max(len(c) for c in index.items)
+    ends = np.cumsum(index.count[key])
+    a = 0
+    while a < len(at):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + LISTED, "right")))
+        many = index.count[key[a:b]]
+        posting = np.repeat(index.first[key[a:b]] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        item, offset = index.item[posting], index.offset[posting]
+        yield item << 32 | (np.repeat(at[a:b], many) - offset + shift) // stride[item], offset
+        a = b
+
+
 def regions(codes: np.ndarray, index: Index, bitmap: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(item, start, end): parts of ``codes`` that share enough q-grams with an item.
 
     A match with up to e edits lies within e + 1 neighbouring diagonals, and so within two of the
-    bands of e + 1 diagonals each that are counted together here.
+    bands of e + 1 diagonals each that are counted together here. Grams that are often in the text and in
+    items are counted in slices, so only bands are held, not all their hits.
     """
-    if len(codes) < Q or not len(index.keys):
+    if len(codes) < index.q:
         return
-    every = grams(codes)
+    every = grams(codes, index.q)
     at = np.flatnonzero(bitmap[(every * _MIX) >> np.uint64(64 - index.bits)])
     key = np.searchsorted(index.keys, every[at])
     key[key == len(index.keys)] = 0
     same = index.keys[key] == every[at]
     at, key = at[same], key[same]
-    many = index.count[key]
-    total = int(many.sum())
-    if not total:
-        return
-    posting = np.repeat(index.first[key] - np.cumsum(many) + many, many) + np.arange(total)
-    item, offset = index.item[posting], index.offset[posting]
-    stride = index.edits + 1
-    shift = max(len(c) for c in index.items)
-    place = item << 32 | (np.repeat(at, many) - offset + shift) // stride[item]
-    bands = np.sort(place)
-    first = np.flatnonzero(np.r_[True, bands[1:] != bands[:-1]])
-    bands, together = bands[first], np.diff(np.r_[first, len(bands)])
+    bands, together = np.empty(0, np.int64), np.empty(0, np.int64)
+    for place, _ in _listed(index, at, key):
+        own, hits = np.unique(place, return_counts=True)
+        if len(bands):
+            own, back = np.unique(np.concatenate([bands, own]), return_inverse=True)
+            hits = np.bincount(back, np.concatenate([together, hits])).astype(np.int64)
+        bands, together = own, hits
     shared = together.copy()
     follows = np.flatnonzero(bands[1:] == bands[:-1] + 1)
     together[follows] += shared[follows + 1]
@@ -138,15 +162,21 @@ def regions(codes: np.ndarray, index: Index, bitmap: np.ndarray) -> Iterator[tup
     if not len(bands):
         return
     # now count each place of the item once: repeated words hit one place many times
-    wanted = np.sort(np.concatenate([bands, bands + 1]))
-    near = np.flatnonzero(contained(place, wanted))
-    near = near[np.lexsort((offset[near], place[near]))]
-    place, offset = place[near], offset[near]
-    for band in bands:
-        no = int(band >> 32)
-        a, b = np.searchsorted(place, band), np.searchsorted(place, band + 1, "right")
-        if len(set(offset[a:b].tolist())) >= index.shared[no]:
-            low, spare = int(band & 0xFFFFFFFF) * int(stride[no]) - shift, int(index.edits[no])
+    wanted = np.unique(np.concatenate([bands, bands + 1]))
+    place, offset = np.empty(0, np.int64), np.empty(0, np.int64)
+    for own, there in _listed(index, at, key):
+        near = contained(own, wanted)
+        place, offset = np.concatenate([place, own[near]]), np.concatenate([offset, there[near]])
+        order = np.lexsort((offset, place))
+        place, offset = place[order], offset[order]
+        new = np.r_[True, (place[1:] != place[:-1]) | (offset[1:] != offset[:-1])][:len(place)]
+        place, offset = place[new], offset[new]
+    stride, shift = index.edits + 1, max(len(c) for c in index.items)
+    lows, highs = np.searchsorted(place, bands), np.searchsorted(place, bands + 1, "right")
+    for band, a, b in zip(bands.tolist(), lows, highs, strict=True):
+        no = band >> 32
+        if b - a >= index.shared[no] and len(set(offset[a:b].tolist())) >= index.shared[no]:
+            low, spare = (band & 0xFFFFFFFF) * int(stride[no]) - shift, int(index.edits[no])
             yield no, max(0, low - spare), min(len(codes), low + 2 * int(stride[no]) + len(index.items[no]) + spare)
 
 
@@ -206,15 +236,15 @@ def matches(texts: list[str], index: Index, bitmap: np.ndarray, table: np.ndarra
     return found
 
 
-def _found(index: Broadcast):
+def _found(block: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = index.value, fold_table()
-        bitmap = own.bitmap()
+        table = fold_table()
+        maps = [(own, own.bitmap()) for own in block.value]
         for batch in pieces(batches):
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             rows = [
                 (ids[a + row], own.ids[no], start, end, distance)
-                for a, b in chunks(texts, CHUNK_CHARS)
+                for a, b in chunks(texts, CHUNK_CHARS) for own, bitmap in maps
                 for (row, no), (distance, start, end) in matches(texts[a:b], own, bitmap, table).items()
             ]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
@@ -224,13 +254,13 @@ def _found(index: Broadcast):
     return run
 
 
-def _without(index: Broadcast, text_at: int):
+def _without(block: Broadcast, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = index.value, fold_table()
-        bitmap = own.bitmap()
+        table = fold_table()
+        maps = [(own, own.bitmap()) for own in block.value]
         for batch in pieces(batches):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            hit = {a + row for a, b in chunks(texts, CHUNK_CHARS)
+            hit = {a + row for a, b in chunks(texts, CHUNK_CHARS) for own, bitmap in maps
                    for row, _ in matches(texts[a:b], own, bitmap, table)}
             yield batch.take(pa.array([i for i in range(len(texts)) if i not in hit], pa.int64()))
 
@@ -238,14 +268,14 @@ def _without(index: Broadcast, text_at: int):
 
 
 def _blocks(benchmark: DataFrame, edit_rate: float, block_chars: int) -> Iterator[Broadcast]:
-    """The index of each block of items; a block holds about ``block_chars`` characters."""
+    """The indexes of each block of items; a block holds about ``block_chars`` characters."""
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     chars = items.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     n = -(-chars // block_chars)
     for i in range(n):
         block = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
         rows = [(r["item_id"], r["text"]) for r in block.collect()]
-        yield benchmark.sparkSession.sparkContext.broadcast(Index.build(rows, edit_rate))
+        yield benchmark.sparkSession.sparkContext.broadcast(indexes(rows, edit_rate))
 
 
 def contaminated(
@@ -256,13 +286,14 @@ def contaminated(
     A row (doc_id, text) matches an item (item_id, text) of ``benchmark`` if part of its text can be
     turned into the item by edits of single characters, ``edit_rate`` of the item's length at most;
     case and the amount of white space do not count. ``start`` and ``end`` are code points of the
-    text. Items below 40 characters cannot be told from common text and are left out. The benchmark
+    text. Items of any length are searched for, short ones by shorter grams: below ten characters only
+    equal ones match, at the default rate. Items without a character match nothing. The benchmark
     is the query set: it goes over all rows in blocks of bounded size, and no row is shuffled. NULL
-    texts match nothing. Repeated rows or items give a match each, and a NULL id is kept as it is. Other
+    texts match nothing; very long ones are counted in slices of bounded size. Repeated rows or items give a match each, and a NULL id is kept as it is. Other
     columns are not read; empty tables give an empty result.
     """
-    found = [docs.select("doc_id", "text").mapInArrow(_found(index), SCHEMA)
-             for index in _blocks(benchmark, edit_rate, block_chars)]
+    found = [docs.select("doc_id", "text").mapInArrow(_found(block), SCHEMA)
+             for block in _blocks(benchmark, edit_rate, block_chars)]
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
@@ -271,6 +302,6 @@ def decontaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that match no item, with all their columns."""
     at = docs.columns.index("text")
-    for index in _blocks(benchmark, edit_rate, block_chars):
-        docs = docs.mapInArrow(_without(index, at), docs.schema)
+    for block in _blocks(benchmark, edit_rate, block_chars):
+        docs = docs.mapInArrow(_without(block, at), docs.schema)
     return docs

@@ -217,12 +217,12 @@ def test_decontamination(spark):
     rows += [(400, "the " * 3000, "en", "s"), (401, items[0][1], "en", "s"), (402, items[0][1][: len(items[0][1]) // 2], "en", "s")]
     docs, benchmark = table(spark, rows), spark.createDataFrame([(*x, 1) for x in items], "item_id bigint, text string, start int")
     got = decontamination.contaminated(docs, benchmark).collect()
-    index = decontamination.Index.build([x for x in items if x[1]], decontamination.EDIT_RATE)
+    own = decontamination.indexes([x for x in items if x[1]], decontamination.EDIT_RATE)
     wanted = Counter()
     for doc_id, text, *_ in rows:
         if doc_id is None or doc_id < 300:
             continue
-        for item_id, codes, edits in zip(index.ids, index.items, index.edits):
+        for item_id, codes, edits in (x for index in own for x in zip(index.ids, index.items, index.edits)):
             d = distance_within("".join(map(chr, codes)), folded(text))
             if d <= edits:
                 wanted[doc_id, item_id, d] += 1
@@ -241,3 +241,35 @@ def test_decontamination(spark):
     assert decontamination.contaminated(table(spark, []), benchmark).count() == 0
     assert decontamination.decontaminated(docs, benchmark.limit(0)).count() == len(rows)
     assert decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def plain_matches(items: list[tuple[int, str]], text: str) -> set[tuple[int, int]]:
+    return {(i, d) for i, t in items if folded(t).strip()
+            and (d := distance_within(folded(t).strip(), folded(text))) <= int(len(folded(t).strip()) * 0.1)}
+
+
+def found_matches(items: list[tuple[int, str]], text: str) -> set[tuple[int, int]]:
+    table_ = decontamination.fold_table()
+    return {(index.ids[no], d) for index in decontamination.indexes(items, 0.1)
+            for (_, no), (d, *_) in decontamination.matches([text], index, index.bitmap(), table_).items()}
+
+
+def test_items_of_any_length_are_found_with_the_whole_budget():
+    draw = random.Random(31)
+    for size in (1, 2, 3, 5, 9, 10, 12, 19, 20, 29, 39, 40, 43, 44, 50, 52, 54, 55, 60):
+        for trial in range(6):
+            item = (prose(40, 100 * size + trial).replace("\n", " "))[:size].strip() or "a"
+            changed = list(item)
+            for at in draw.sample(range(len(item)), int(len(item) * 0.1)):
+                changed[at] = draw.choice("QZX#")
+            text = prose(30, size + trial) + "".join(changed) + prose(30, size + trial + 1)
+            got = found_matches([(1, item), (2, "   "), (3, "")], text)
+            assert got == plain_matches([(1, item)], text) and got, (item, changed)
+
+
+def test_repeated_grams_are_counted_in_slices(monkeypatch):
+    items = [(1, "ab" * 60), (2, "ab" * 50 + prose(10, 3)), (3, prose(30, 4)), (4, "a" * 30)]
+    texts = ["ab" * 700, "a" * 500, prose(40, 5) + items[2][1] + "ab" * 100 + items[1][1]]
+    whole = [found_matches(items, t) for t in texts]
+    monkeypatch.setattr(decontamination, "LISTED", 50)
+    assert [found_matches(items, t) for t in texts] == whole == [plain_matches(items, t) for t in texts]
