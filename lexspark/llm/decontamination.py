@@ -20,6 +20,7 @@ from lexspark.llm.words import SPACES
 QS = (8, 4, 2, 1)
 EDIT_RATE = 0.1
 LISTED = 1 << 21
+REGION_CHARS = 1 << 15
 BLOCK_CHARS = 8 << 20
 CHUNK_CHARS = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -180,6 +181,20 @@ def regions(codes: np.ndarray, index: Index, bitmap: np.ndarray) -> Iterator[tup
             yield no, max(0, low - spare), min(len(codes), low + 2 * int(stride[no]) + len(index.items[no]) + spare)
 
 
+def merged(found: Iterator[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Regions of an item that overlap are one, up to a bounded length, and so are aligned once."""
+    held = None
+    for no, low, high in found:
+        if held and held[0] == no and low <= held[2] and high - held[1] <= REGION_CHARS:
+            held = no, held[1], max(high, held[2])
+        else:
+            if held:
+                yield held
+            held = no, low, high
+    if held:
+        yield held
+
+
 def align(item: np.ndarray, text: np.ndarray, most: int, anchored: bool = False) -> tuple[int, int] | None:
     """(edits, end) of the best match of ``item`` in ``text`` with ``most`` edits at most.
 
@@ -214,7 +229,7 @@ def matches(texts: list[str], index: Index, bitmap: np.ndarray, table: np.ndarra
     codes, place = folded(texts, table)
     stops = np.flatnonzero(codes == 0)
     text_starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-    for no, low, high in regions(codes, index, bitmap):
+    for no, low, high in merged(regions(codes, index, bitmap)):
         item, most = index.items[no], int(index.edits[no])
         row = int(np.searchsorted(stops, low))
         while low < high and row < len(stops):
