@@ -25,6 +25,7 @@ LIMIT = 1024
 CHUNK_CHARS = 1 << 19
 SCAN_CHARS = 64
 TRANSITIONS = 1 << 19
+LONG_BYTES = 1 << 11
 _MIX, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 # classes of characters: letters are split by the part they can have in a contraction
@@ -259,14 +260,23 @@ class PartCounter:
         self._put(state << 8 | byte, number, count)
 
     def counts(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Tokens of each part of ``data``; the parts run side by side."""
+        """Tokens of each part of ``data``; short parts run side by side, and so do the chunks of a long one."""
         if self.held > TRANSITIONS:  # begin anew rather than grow with the texts
             self._clear()
         if len(self.agree) > TRANSITIONS:
             self.agree.clear()
         out = np.zeros(len(starts), np.int64)
+        short = np.flatnonzero(sizes <= LONG_BYTES)
+        out[short] = self.run(data, starts[short], sizes[short], np.zeros(len(short), np.int64))[1]
+        for i in np.flatnonzero(sizes > LONG_BYTES):
+            out[i] = self.long_count(data, int(starts[i]), int(sizes[i]))
+        return out
+
+    def run(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the state after, the tokens of) each stretch of ``data``, read from the state ``begin``."""
+        out, ends = np.zeros(len(starts), np.int64), begin.copy()
         active = np.flatnonzero(sizes > 0)
-        state = np.zeros(len(active), np.int64)
+        state = begin[active]
         step = 0
         while len(active):
             keys = state << 8 | data[starts[active] + step]
@@ -281,10 +291,61 @@ class PartCounter:
                 else:
                     slots = self.find(keys)
             out[active] += self.added[slots]
+            state = self.after[slots].astype(np.int64)
             step += 1
             on = sizes[active] > step
-            active, state = active[on], self.after[slots[on]].astype(np.int64)
-        return out
+            ends[active[~on]] = state[~on]
+            active, state = active[on], state[on]
+        return ends, out
+
+    def long_count(self, data: np.ndarray, start: int, size: int) -> int:
+        """Tokens of one long part: its chunks' maps (state before -> state after, tokens), composed.
+
+        Which states a chunk may begin in is not known beforehand: it is tried from the start, then from
+        those in which the chunk before it ended. Maps are composed in a prefix scan whose steps double
+        their reach, until all chunks are known from their true state. States forget soon, so few rounds
+        do; each settles one more chunk at least.
+        """
+        width = max(LONG_BYTES // 8, int(size ** 0.5))
+        n = -(-size // width)
+        starts = start + width * np.arange(n)
+        sizes = np.minimum(width, start + size - starts)
+        place, seen = {0: 0}, [0]
+        after, added = np.full((n, 1), -1), np.zeros((n, 1), np.int64)
+        chunk, entry = np.arange(n), np.zeros(n, np.int64)
+        while True:
+            ends, found = self.run(data, starts[chunk], sizes[chunk], np.array(seen, np.int64)[entry])
+            for state in np.unique(ends).tolist():
+                if state not in place:
+                    place[state] = len(seen)
+                    seen.append(state)
+            more = len(seen) - after.shape[1]
+            after, added = np.pad(after, ((0, 0), (0, more)), constant_values=-1), np.pad(added, ((0, 0), (0, more)))
+            after[chunk, entry], added[chunk, entry] = [place[s] for s in ends.tolist()], found
+            total, tokens = composed(after, added)
+            known = int((total[:, 0] >= 0).sum())  # a prefix of the chunks
+            if known == n:
+                return int(tokens[-1, 0])
+            # a later chunk is tried from where those before it can end; the first open one surely
+            wanted = np.zeros((n, len(seen)), bool)
+            before, state = np.nonzero(after[known - 1:-1] >= 0)
+            wanted[known + before, after[known - 1 + before, state]] = True
+            wanted[known] = False
+            wanted[known, total[known - 1, 0]] = True
+            chunk, entry = np.nonzero(wanted & (after < 0))
+
+
+def composed(after: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row, (state after, tokens) from each state before the first row; -1 where a map has a gap."""
+    reach, n = 1, len(after)
+    while reach < n:
+        first, own = after[:-reach], np.maximum(after[:-reach], 0)
+        gap = first < 0
+        then, count = after.copy(), added.copy()
+        then[reach:] = np.where(gap, -1, np.take_along_axis(after[reach:], own, axis=1))
+        count[reach:] = added[:-reach] + np.take_along_axis(added[reach:], own, axis=1)
+        after, added, reach = then, count, 2 * reach
+    return after, added
 
 
 @lru_cache(2)
@@ -343,7 +404,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs`` (doc_id, text).
 
     ``path`` names a byte-level BPE vocabulary file that every executor has. Nothing is shuffled. A NULL
-    text counts as empty: no bytes, no tokens. Repeated rows each give a row; other columns are not
+    text counts as empty: no bytes, no tokens. Long texts, and long parts of them, are read in chunks side by side. Repeated rows each give a row; other columns are not
     read; an empty table gives an empty result.
     """
     read = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -190,6 +191,18 @@ def test_the_transducer_forgets_and_goes_on(monkeypatch):
         assert token_counts.count_tokens([text], counter) == [len(library.encode(text).ids)]
 
 
+def test_long_parts_are_composed_from_chunks():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counter, library = token_counts.part_counter(path), Tokenizer.from_file(path)
+    draw = random.Random(12)
+    texts = ["a" * 400_000, "é" * 5000, "=" * 9000, "ab" * 4000, " " * 30_000, "-=" * 3000 + "x", "the" * 30_000]
+    texts += ["".join(draw.choice("aeinorst") for _ in range(n)) for n in (2047, 2048, 2049, 4097, 50_000)]
+    start = time.perf_counter()
+    got = token_counts.count_tokens(texts, counter)
+    assert time.perf_counter() - start < 20
+    assert got == [len(library.encode(t).ids) for t in texts]
+
+
 def distance_within(item: str, text: str) -> int:
     before = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
