@@ -64,46 +64,87 @@ def argument_errors(name: Column, arguments: Column, tools: dict[str, dict[str,
     return F.when(no_object, F.array(F.lit("arguments are not a JSON object"))).otherwise(out)
 
 
+def chains(waits: DataFrame) -> DataFrame:
+    """(conv, call_id, to, steps): for calls with one wait, the call at the end of their chain of such calls.
+
+    Each round joins every open chain with the one it has come to, so its length doubles. Chains that close
+    in a circle have no end and are left out.
+    """
+    one = waits.groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("n"), F.min("other").alias("to")).where("n = 1")
+    left = cut_lineage(one.select("conv", "call_id", "to", F.lit(1).cast("bigint").alias("steps")))
+    n, reach = left.count(), 1
+    while True:
+        # chains that have come to a call with a chain of its own go on by that one's steps
+        on = left.select("conv", F.col("call_id").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"))
+        joined = cut_lineage(left.join(on, ["conv", "to"], "left"))
+        if reach > n or joined.where("_to IS NOT NULL").isEmpty():
+            return joined.where("_to IS NULL").select("conv", "call_id", "to", "steps")
+        left = cut_lineage(joined.select(
+            "conv", "call_id", F.coalesce("_to", "to").alias("to"),
+            (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps")))
+        reach *= 2
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, call_id, level): 0 for calls that wait for none, else one above the highest they wait for.
 
-    Calls whose waits are over form a round; ids in ``after`` that no call has are no wait. Calls on a cycle, or
-    behind one, have no level. There are as many rounds as levels, each over the waits left.
+    Chains of calls with one wait are shortened to their ends. Of the rest, calls whose waits are over form a
+    round; ids in ``after`` that no call has are no wait. Calls on a cycle, or behind one, have no level. Rounds
+    grow with the logarithm of the longest chain and with the calls of several waits on one path.
     """
-    ids = cut_lineage(calls.select("conv", "call_id").distinct())
-    waits = cut_lineage(calls.select("conv", "call_id", F.explode("after").alias("other")).distinct().join(
+    key = ["conv", "call_id"]
+    ids = cut_lineage(calls.select(*key).distinct())
+    waits = cut_lineage(calls.select(*key, F.explode("after").alias("other")).distinct().join(
         ids.withColumnRenamed("call_id", "other"), ["conv", "other"], "left_semi"))
-    ready = cut_lineage(ids.join(waits, ["conv", "call_id"], "left_anti"))
-    out, level = ready.withColumn("level", F.lit(0)), 0
-    while not waits.isEmpty():
-        left = cut_lineage(waits.join(ready.withColumnRenamed("call_id", "other"), ["conv", "other"], "left_anti"))
-        ready = cut_lineage(waits.select("conv", "call_id").distinct().join(left, ["conv", "call_id"], "left_anti"))
+    ends = cut_lineage(chains(waits))
+    several = waits.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    single = waits.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n = 1").select(
+        "conv", F.col("call_id").alias("other"), F.lit(True).alias("single"))
+    # a wait for a call without end leads nowhere: its value stays open
+    left = cut_lineage(
+        waits.join(several, key, "left_semi").join(single, ["conv", "other"], "left").join(
+            ends.select("conv", F.col("call_id").alias("other"), "to", "steps"), ["conv", "other"], "left").select(
+            *key, F.when(F.col("single"), F.col("to")).otherwise(F.col("other")).alias("to"),
+            F.coalesce("steps", F.lit(0)).alias("steps"), F.lit(None).cast("int").alias("value")))
+    ready = cut_lineage(ids.join(waits, key, "left_anti").withColumn("level", F.lit(0)))
+    known = ready
+    while not left.isEmpty():
+        reached = left.join(ready.select("conv", F.col("call_id").alias("to"), "level"), ["conv", "to"], "left").select(
+            *key, "to", "steps", F.coalesce("value", (F.col("level") + F.col("steps")).cast("int")).alias("value"))
+        left = cut_lineage(reached)
+        ready = cut_lineage(left.groupBy(*key).agg(
+            F.max("value").alias("value"), F.count_if(F.col("value").isNull()).alias("open")).where("open = 0").select(
+            *key, (F.col("value") + 1).alias("level")))
         if ready.isEmpty():
             break
-        level += 1
-        out, waits = out.unionByName(ready.withColumn("level", F.lit(level))), left
-    return out
+        known = known.unionByName(ready)
+        left = cut_lineage(left.join(ready, key, "left_anti"))
+    behind = ends.join(known.withColumnRenamed("call_id", "to"), ["conv", "to"]).select(
+        *key, (F.col("level") + F.col("steps")).cast("int").alias("level"))
+    return known.unionByName(behind)
 
 
 def linked_calls(
     calls: DataFrame, results: DataFrame, tools: dict[str, dict[str, tuple[str, bool]]]
 ) -> DataFrame:
-    """One row per call: conv_id, call_id, name, turn, level, position, status, errors, canonical.
+    """One row per call, and one per result whose id no call of its conversation has: conv_id, call_id, name, turn, level, position, status, errors, canonical.
 
     ``calls`` has conv_id, turn, call_id, name, arguments (JSON text) and after (ids of calls it waits for);
     ``results`` has conv_id, turn, call_id and content. A call meets the results of its id in its
     conversation. ``status`` is linked, repeated (more than one result; the first in order of turn
-    counts), unanswered, or ambiguous (its id is missing or used by several calls). ``position`` counts the calls
+    counts), unanswered, or ambiguous (its id is missing or used by several calls). Results without a call, or without an id, have the
+    status unmatched, their own turn and content, no name, level or position. ``position`` counts the calls
     of a conversation in topological order, from 0: by level, then turn and id; calls without level come last. ``errors``
     lists what the schema finds. ``canonical`` is JSON with sorted keys and without spaces; arguments that
-    are no JSON are null in it. A NULL conv_id is a conversation of its own. Repeated calls are ambiguous and
+    are no JSON are null in it. Long texts and long chains are taken as they are. A NULL conv_id is a conversation of its own. Repeated calls are ambiguous and
     each give a row. Other columns are not read; empty tables give an empty result.
     """
     def keyed(rows: DataFrame) -> DataFrame:
         return rows.withColumn("conv", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("n")))
 
     calls = cut_lineage(keyed(calls.select("conv_id", "turn", "call_id", "name", "arguments", "after")))
-    answers = keyed(results.select("conv_id", "turn", "call_id", "content")).where("call_id IS NOT NULL").groupBy(
+    given = cut_lineage(keyed(results.select("conv_id", "turn", "call_id", "content")))
+    answers = given.where("call_id IS NOT NULL").groupBy(
         "conv", "call_id").agg(
         F.count(F.lit(1)).alias("n_results"), F.min(F.struct("turn", "content"))["content"].alias("content"))
     same = calls.where("call_id IS NOT NULL").groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("n_calls"))
@@ -113,18 +154,28 @@ def linked_calls(
     status = F.when(F.coalesce("n_calls", F.lit(2)) > 1, "ambiguous").when(
         F.col("n_results").isNull(), "unanswered").when(F.col("n_results") > 1, "repeated").otherwise("linked")
     answered = F.when(status.isin("linked", "repeated"), F.col("content"))
-    canonical = F.to_json(F.struct(
-        F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name").alias("name"),
-        answered.alias("result")), {"ignoreNullFields": "false"})
+
+    def canonical(arguments: Column, name: Column, result: Column) -> Column:
+        return F.to_json(F.struct(
+            F.try_parse_json(arguments).alias("arguments"), F.col("call_id").alias("id"), name.alias("name"),
+            result.alias("result")), {"ignoreNullFields": "false"}).alias("canonical")
+
     rows = joined.select(
         "conv", "conv_id", "call_id", "name", "turn", "level", status.alias("status"),
-        argument_errors(F.col("name"), F.col("arguments"), tools).alias("errors"), canonical.alias("canonical"))
+        argument_errors(F.col("name"), F.col("arguments"), tools).alias("errors"),
+        canonical(F.col("arguments"), F.col("name"), answered))
     order = [F.col("conv"), F.col("level").isNull(), *[F.col(c) for c in ("level", "turn", "call_id", "canonical")]]
     placed = cut_lineage(with_position(rows, order, "at"))
     firsts = placed.groupBy("conv").agg(F.min("at").alias("first"))
-    return placed.join(firsts, "conv").select(
+    linked = placed.join(firsts, "conv").select(
         "conv_id", "call_id", "name", "turn", "level", (F.col("at") - F.col("first")).alias("position"),
         "status", F.array_join("errors", "; ").alias("errors"), "canonical")
+    none = F.lit(None).cast("string")
+    unmatched = given.join(same.select("conv", "call_id"), ["conv", "call_id"], "left_anti").select(
+        "conv_id", "call_id", none.alias("name"), "turn", F.lit(None).cast("int").alias("level"),
+        F.lit(None).cast("bigint").alias("position"), F.lit("unmatched").alias("status"), F.lit("").alias("errors"),
+        canonical(none, none, F.col("content")))
+    return linked.unionByName(unmatched)
 
 
 #: Tools of the derived calls below.
@@ -191,4 +242,9 @@ o AS (
 SELECT conv_id, call_id, name, turn, level, row_number() OVER (
   PARTITION BY conv_id ORDER BY level NULLS LAST, turn, call_id, canonical) - 1 AS position,
   status, errors, canonical FROM o
+UNION ALL
+SELECT conv_id, call_id, NULL, turn, NULL, NULL, 'unmatched', '',
+  '{"arguments":null,"id":"' || call_id || '","name":null,"result":' || to_json(text)::VARCHAR || '}'
+FROM (SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'user')
+ANTI JOIN k USING (conv_id, call_id)
 """

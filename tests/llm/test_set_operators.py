@@ -225,6 +225,10 @@ def test_tool_calls(spark):
     got = tool_calls.linked_calls(
         spark.createDataFrame([(*c, 1, 2) for c in calls], call),
         spark.createDataFrame(results, "conv_id bigint, turn bigint, call_id string, content string"), tool_calls.TOOLS).collect()
+    lone = {(r.conv_id, r.call_id, r.name, r.turn, r.level, r.position, r.errors, r.canonical) for r in got if r.status == "unmatched"}
+    assert lone == {(9, "c", None, 1, None, None, "", '{"arguments":null,"id":"c","name":null,"result":"other"}'),
+                    (1, None, None, 1, None, None, "", '{"arguments":null,"id":null,"name":null,"result":"x"}')}
+    got = [r for r in got if r.status != "unmatched"]
     by = {(r.conv_id, r.call_id): r for r in got if (r.conv_id, r.call_id) != (3, "d")}
     assert len(got) == len(calls)
     assert [by[1, c].level for c in "abc"] == [0, 1, 2] and [by[1, c].position for c in ("a", "b", "c", None)] == [0, 1, 2, 3]
@@ -241,6 +245,38 @@ def test_tool_calls(spark):
     assert tool_calls.linked_calls(*none, tool_calls.TOOLS).count() == 0
 
 
+def test_levels_of_deep_chains(spark):
+    draw = random.Random(5)
+    waits = {f"a{i}": [f"a{i - 1}"] if i else [] for i in range(200)}
+    waits |= {"loop1": ["loop3"], "loop2": ["loop1"], "loop3": ["loop2"], "after": ["loop2"], "both": ["loop2", "a3"], "own": ["own"]}
+    waits |= {f"m{i}": [f"a{draw.randrange(200)}" for _ in range(3)] + ([f"n{i - 1}"] if i else []) for i in range(4)}
+    waits |= {f"n{i}": [f"m{i}", "gone"] for i in range(4)} | {"last": ["n3"], "later": ["last", "both"]}
+
+    known: dict[str, int] = {}
+    while True:
+        new = {c: 1 + max((known[w] for w in ws if w in waits), default=-1) for c, ws in waits.items()
+               if c not in known and all(w in known or w not in waits for w in ws)}
+        if not new:
+            break
+        known |= new
+    rows = [(conv, c, w) for conv in ("x", "y") for c, w in waits.items()]
+    got = tool_calls.levels(spark.createDataFrame(rows, "conv string, call_id string, after array<string>")).collect()
+    assert sorted((r.conv, r.call_id, r.level) for r in got) == sorted((c, i, n) for c in ("x", "y") for i, n in known.items())
+
+
+def test_long_tool_results_and_calls_without_results(spark):
+    text = prose(20_000, 3)
+    calls = spark.createDataFrame([(1, 1, "a", "search", json.dumps({"query": text, "limit": 1}), [])] * 1,
+                                  "conv_id bigint, turn bigint, call_id string, name string, arguments string, after array<string>")
+    results = spark.createDataFrame([(1, 2, "a", text), (1, 2, "b", text), (1, 2, "b", text)],
+                                    "conv_id bigint, turn bigint, call_id string, content string")
+    got = tool_calls.linked_calls(calls, results, tool_calls.TOOLS).collect()
+    assert sorted(r.status for r in got) == ["linked", "unmatched", "unmatched"]
+    assert all(json.loads(r.canonical)["result"] == text for r in got)
+    lone = tool_calls.linked_calls(calls.limit(0), results, tool_calls.TOOLS).collect()
+    assert [r.status for r in lone] == ["unmatched"] * 3
+
+
 def test_tool_calls_in_messages(spark):
     text = 'Let me see. <tool_call>{"id": "1", "name": "search", "arguments": {"query": "a", "limit": 2}}</tool_call>' \
            '<tool_call>{"id": "2", "name": "lookup", "after": ["1"], "arguments": {"query": "b"}}</tool_call><tool_call>{</tool_call>'
