@@ -140,6 +140,27 @@ def test_hot_word_and_large_lookup(spark):
     assert [w[1] for w in want if w[0] == "hot"] == [0, 3, 6, 9, 12]
 
 
+def test_large_lookups_are_not_broadcast(spark):
+    # the stored table is small to the planner, but not its repeats in memory
+    rows = spark.range(1000).select("id", (F.col("id") % 7).alias("key"))
+    far = Lookup(spark.createDataFrame([(1, "a"), (3, "b")], "key bigint, name string"), limit=0).join(rows, "key")
+    assert "Broadcast" not in far._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_ranking_with_a_large_vocabulary(spark, k):
+    sents = corpus.with_chain_heads(corpus.sentences(articles(spark, [*TEXTS, "No such. No."])), ["the", "a", "by", "is"])
+    narrow, wide = corpus.scored_tokens(sents), corpus.scored_tokens(sents, ["title", "sentence"])
+    odd = spark.createDataFrame([(9, 0, 0, "t", "s", "bank", None), (9, 1, 0, "t", "s", "odd", None), (9, 2, 0, None, None, None, 1.0)],
+                                "doc_id bigint, sent_id int, tok_id int, title string, sentence string, word string, score double")
+    narrow, wide = narrow.unionByName(odd.select(*narrow.columns)), wide.unionByName(odd.select(*wide.columns))
+    words = Lookup(spark.createDataFrame([("bank",), ("river",), ("big",), ("odd",), (None,)], "word string"))
+    near = ranking.top_examples(narrow, wide, words, k)
+    far = ranking.top_examples(narrow, wide, words, k, limit=0)
+    assert far.columns == near.columns
+    assert sorted(map(str, far.collect())) == sorted(map(str, near.collect()))
+
+
 def test_large_k_is_limited_before_the_shuffle(spark):
     rows = spark.range(10000).select(
         (F.col("id") % 3).alias("word"), F.col("id").cast("double").alias("score")
