@@ -190,6 +190,31 @@ def test_vocabulary(spark):
     assert [r[0] for r in found.collect()] == ["a"]
 
 
+def test_letters_are_looked_for_in_counted_words(spark):
+    tokens = spark.createDataFrame([("a",), ("1",)], "word string")
+    plan = vocabulary.frequent_words(tokens, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("Aggregate")
+
+
+def test_sentences_with_words(spark):
+    sents = corpus.with_chain_heads(corpus.sentences(articles(spark, TEXTS)), ["the", "a", "by", "is"])
+    words = Lookup(spark.createDataFrame([("river",), ("sky",)], "word string"))
+    few = corpus.with_words(sents, ["river", "sky"])
+    assert 0 < few.count() < sents.count()
+    assert sorted(map(str, flows.best_sentences(few, words, 3).collect())) == sorted(
+        map(str, flows.best_sentences(sents, words, 3).collect()))
+
+
+def test_requested_sentences_are_split_once(spark, tmp_path):
+    from checks.tables import Tables
+
+    spark.createDataFrame([("d", "s", "With that. No. For it."), (None, None, None)], "doc_id string, source string, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    rows = Tables(spark, str(tmp_path)).requested_inputs()
+    assert sorted((r.word, r.sentence) for r in rows.collect()) == [("for", "For it."), ("that", "With that."), ("with", "With that.")]
+    assert "documents.parquet" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_example_rows_keep_top_titles(spark):
     weights = spark.createDataFrame([("t0", 5), ("t1", 9), ("t2", 1)], "title string, pageviews bigint")
     got = flows.example_rows(
