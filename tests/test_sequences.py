@@ -228,3 +228,17 @@ def test_model_features(spark):
     whole = model.model_features(packed, ids_and_places, full_output=True, indexes=(-1, -2)).where("linex_index = 'dog-2'").first()
     assert [f["token"] for f in whole["features"]] == ["[CLS]", "the", "[SEP]", "dog", "[SEP]"]
     assert [x["index"] for x in whole["features"][0]["layers"]] == [-1, -2]
+
+
+def test_vectors_and_their_text_take_one_pass_of_python(spark):
+    """Vectors are written out where they are built: they do not return to the JVM in between."""
+    sents = spark.createDataFrame([(1, 0, WORDS), (1, 1, ["alone"])],
+                                  "doc_id bigint, sent_id int, words array<string>")
+    built = vectors.context_vectors(vectors.context_windows(sents))
+    written = built.select("sent_id", "tok_id", V.sparse_text(F.col("vec"), 1e6).alias("vec"))
+    plan = written._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    got = {(r.sent_id, r.tok_id): r.vec for r in written.collect()}
+    for r in built.collect():
+        assert got[r.sent_id, r.tok_id] == " ".join(f"{i}:{round(v * 1e6)}" for i, v in enumerate(r.vec) if v)
+    assert got[1, 0] == ""
