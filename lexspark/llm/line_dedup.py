@@ -8,38 +8,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.binding import let
-from lexspark.llm.words import WORD
+from lexspark.llm.words import SPACES
 from lexspark.plans.lineage import cut_lineage
 from lexspark.plans.sizing import Lookup
 
-RARITY_BITS = 16
-HOT_TOKEN = 32
-_GAP = r"[\x20\x09-\x0D]+"
+RARITY_BITS = 20
+# a token counted 2**PAIRED times or more is looked up together with the next shared one
+PAIRED = 9
+HOT_KEY = 1 << PAIRED
+# lines of up to LONG tokens pair their frequent tokens; 4 / 5 of it and more post them alone
+LONG = 320
+_SLOTS = 16
+_AT_BITS = 20
 # two sets of n and m tokens are similar if 9 * shared >= 4 * (n + m): a Jaccard index of 0.8
 
 
+def _plain(text: Column) -> Column:
+    """``text`` with spaces for all white space."""
+    for space in SPACES[1:]:
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return text
+
+
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, _GAP), lambda w: w != "")
+    return F.array_remove(F.split(_plain(text), " "), "")
+
+
+def _hashes(text: Column) -> Column:
+    return F.array_distinct(F.transform(_words(text), lambda w: F.xxhash64(w)))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of every line with a word."""
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(
-        F.col("line").rlike(WORD))
+        F.ltrim("line", F.lit(SPACES)) != "")
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Number of tokens in each of 2**16 buckets of token hashes, as one constant array.
+    """The logarithm of the number of tokens in each of 2**20 buckets of token hashes, as one constant array.
 
-    It orders tokens by rarity in a fixed amount of memory. Tokens of one bucket go by their hash, so the order
-    is total and one for all lines, which is all that the filters need to be exact.
+    An item holds 16 buckets, four bits each. It orders tokens by rarity in a fixed amount of memory. Tokens of one class go by
+    their hash, so the order is total and one for all lines, which is all that the filters need to be exact.
     """
-    tokens = docs.select(F.explode(_words(F.col("text"))).alias("w"))
+    tokens = docs.select(F.explode(F.split(_plain(F.col("text")), " ")).alias("w")).where("w <> ''")
     counts = tokens.groupBy(
         F.xxhash64("w").bitwiseAND((1 << RARITY_BITS) - 1).cast("int").alias("bucket")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    held = {r["bucket"]: r["n"] for r in counts.collect()}
-    return F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(1 << RARITY_BITS)])), "array<bigint>")
+    ).agg(F.floor(F.log2(F.count(F.lit(1)))).alias("rank"))
+    items = (1 << RARITY_BITS) // _SLOTS
+    packed = counts.groupBy(F.col("bucket").bitwiseAND(items - 1).alias("item")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.least("rank", F.lit(_SLOTS - 1)), F.floor(F.col("bucket") / items).cast("int") * 4)).alias("ranks"))
+    held = {r["item"]: r["ranks"] for r in packed.collect()}
+    return F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(items)])), "array<bigint>")
+
+
+def _token(h: Column, order: Column) -> Column:
+    """59 bits of a token's hash below the four bits of its rarity."""
+    items = (1 << RARITY_BITS) // _SLOTS
+    ranks = F.coalesce(F.get(order, h.bitwiseAND(items - 1).cast("int")), F.lit(0).cast("bigint"))
+    slot = F.shiftrightunsigned(h, items.bit_length() - 3).bitwiseAND(4 * (_SLOTS - 1)).cast("int")
+    rank = F.call_function("shiftrightunsigned", ranks, slot).bitwiseAND(_SLOTS - 1)
+    return F.shiftleft(rank, 59).bitwiseOR(F.shiftrightunsigned(h, 5))
 
 
 def _identity(line: Column) -> Column:
@@ -47,87 +75,150 @@ def _identity(line: Column) -> Column:
 
 
 def _prefixed(docs: DataFrame, order: Column) -> DataFrame:
-    """(line, doc_id, line_no, n, bits, prefix, many): every different line, named by its hash.
+    """(id, line, x, doc_id, line_no, n, bits, prefix, many): every different line, named by its hash.
 
-    ``doc_id`` and ``line_no`` are its first place and ``many`` tells whether there are more. ``prefix``
-    has the rarest tokens that a similar line must share one of; ``bits`` has a bit for each residue of
-    token hashes that an odd number of tokens have.
+    ``doc_id`` and ``line_no`` are its first place and ``many`` tells whether there are more. Of ``n`` tokens a
+    similar line may lack n / 5: ``prefix`` has one more, the rarest, and the next one. ``bits`` has a bit
+    for each residue of token hashes that an odd number of tokens have.
     """
-    hashes = F.transform(F.array_distinct(_words(F.col("line"))), lambda w: F.xxhash64(w))
-    # array_sort of (count, hash) pairs: the rarest tokens come first
-    ranked = F.array_sort(F.transform(hashes, lambda h: F.struct(
-        F.get(order, h.bitwiseAND((1 << RARITY_BITS) - 1).cast("int")).alias("f"), h.alias("h"))))
-    n = F.size("_t")
-    rows = lines_of(docs).select("doc_id", "line_no", _identity(F.col("line")).alias("line"), ranked.alias("_t"))
+    n = F.size("_h")
+    rows = lines_of(docs).select("doc_id", "line_no", _identity(F.col("line")).alias("line"), _hashes(F.col("line")).alias("_h"))
     rows = rows.select(
         "line", F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "line_no").alias("at"), F.struct(
             n.alias("n"),
-            F.aggregate("_t", F.lit(0).cast("bigint"), lambda bits, t: bits.bitwiseXOR(
-                F.call_function("shiftleft", F.lit(1).cast("bigint"), t["h"].bitwiseAND(63).cast("int")))).alias("bits"),
-            F.transform(F.slice("_t", F.lit(1), n - F.floor((4 * n + 4) / 5).cast("int") + 1),
-                        lambda t: t["h"]).alias("prefix"),
+            F.aggregate("_h", F.lit(0).cast("bigint"), lambda bits, h: bits.bitwiseXOR(
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int")))).alias("bits"),
+            F.slice(F.sort_array(F.transform("_h", lambda h: _token(h, order))), F.lit(1),
+                    F.floor(n / 5).cast("int") + 2).alias("prefix"),
         ).alias("of"))
     return rows.groupBy("line").agg(
         F.min("at").alias("at"), F.first("of").alias("of"), F.count(F.lit(1)).alias("c")
-    ).select("line", "at.x", "at.doc_id", "at.line_no", "of.*", (F.col("c") > 1).alias("many"))
+    ).select(F.monotonically_increasing_id().alias("id"), "line", "at.x", "at.doc_id", "at.line_no", "of.*", (F.col("c") > 1).alias("many"))
+
+
+def _postings(lines: DataFrame) -> DataFrame:
+    """(key, id, ni, bits): the keys of every line; similar lines have one in common. Odd keys are of rare tokens.
+
+    Of two similar lines take the shared tokens in the order of rarity. The first is in both prefixes, without the
+    token that comes last, and the second one in both prefixes. A rare first token is a key; a
+    frequent one and the second are a key together, so that no key has the lines of a frequent token. Long
+    lines post frequent tokens alone, as their pairs are many. ``ni`` holds n and, below it, how
+    many tokens of the line are certainly not shared if the key is of the first shared tokens.
+    """
+    n, top = F.col("n"), (1 << _AT_BITS) - 1
+
+    def item(key: Column, lacks: Column, rare: int = 0) -> Column:
+        return F.shiftleft(key, _AT_BITS + 1).bitwiseOR(F.least(lacks, F.lit(top)).cast("bigint") + (rare << _AT_BITS))
+
+    def keys(t: Column, i: Column) -> Column:
+        alone = F.array(item(t, i))
+        pairs = F.transform(F.slice("prefix", i + 2, n), lambda u, j: item(F.xxhash64(t, u), i + j))
+        return F.when(F.shiftright(t, 59) < PAIRED, F.array(item(t, i, 1))).when((n == 1) | (n > LONG), alone).when(
+            5 * n < 4 * LONG, pairs).otherwise(F.concat(alone, pairs))
+
+    first = F.slice("prefix", F.lit(1), F.floor(n / 5).cast("int") + 1)
+    return lines.select("id", "n", "bits", F.explode(F.flatten(F.transform(first, keys))).alias("_k")).select(
+        F.shiftrightunsigned("_k", _AT_BITS).alias("key"), "id",
+        F.shiftleft(n.cast("bigint"), _AT_BITS).bitwiseOR(F.col("_k").bitwiseAND(top)).alias("ni"), "bits")
 
 
 def _possible(a: str, b: str) -> Column:
-    """Filters on two postings of one token: length, position, differing bits, and ``b`` earlier."""
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
+    """Filters on two postings of one key: length, position, differing bits."""
+    def both(side: str) -> tuple[Column, Column]:
+        n = F.shiftright(f"{side}.ni", _AT_BITS)
+        return n, n - F.col(f"{side}.ni").bitwiseAND((1 << _AT_BITS) - 1)
 
-    need = 4 * (of(a, "n") + of(b, "n"))
-    earlier = F.struct(of(b, "x"), of(b, "doc_id"), of(b, "line_no"), of(b, "line")) < F.struct(
-        of(a, "x"), of(a, "doc_id"), of(a, "line_no"), of(a, "line"))
+    (n, left), (m, right) = both(a), both(b)
     return (
-        (5 * of(a, "n") >= 4 * of(b, "n")) & (5 * of(b, "n") >= 4 * of(a, "n"))
-        & (9 * F.least(of(a, "n") - of(a, "i"), of(b, "n") - of(b, "i")) >= need)
+        (F.col(f"{a}.key") == F.col(f"{b}.key"))
         # tokens in one line only: n + m - 2 * shared <= (n + m) / 9
-        & (9 * F.bit_count(of(a, "bits").bitwiseXOR(of(b, "bits"))) <= of(a, "n") + of(b, "n")) & earlier
+        & (9 * _distance(a, b) <= n + m)
+        & (5 * n >= 4 * m) & (5 * m >= 4 * n) & (9 * F.least(left, right) >= 4 * (n + m))
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(line): the later lines of ``pairs`` (line, other) with a Jaccard index of 0.8 or more."""
-    pairs = cut_lineage(pairs.distinct())
-    named = Lookup(pairs.select("line").union(pairs.select("other")).distinct())
-    held = cut_lineage(named.join(lines_of(docs).select(_identity(F.col("line")).alias("line"), "line_no", F.col("line").alias("_l")), "line")
-                       .groupBy("line").agg(F.first("_l").alias("_l"))
-                       .select("line", F.array_distinct(_words(F.col("_l"))).alias("w")))
-    both = pairs.join(held, "line").join(
-        held.select(F.col("line").alias("other"), F.col("w").alias("v")), "other")
-    shared = F.size(F.array_intersect("w", "v"))
-    return both.where(9 * shared >= 4 * (F.size("w") + F.size("v"))).select("line").distinct()
+def _distance(a: str, b: str) -> Column:
+    return F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
+
+
+def _pairs(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
+    """(a, b, d): possible pairs of postings and the number of bits that differ."""
+    return left.alias("a").join(right.alias("b"), _possible("a", "b") & more).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b"), _distance("a", "b").alias("d"))
+
+
+def _placed(ids: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, line, x, doc_id, line_no) of some lines."""
+    return Lookup(ids.distinct()).join(lines.select("id", "line", "x", "doc_id", "line_no"), "id")
+
 
+def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, other): ``pairs`` without most of those that cannot be similar, by 32-bit hashes of their tokens."""
+    both = pairs.join(texts.select("id", "n", "h"), "id").join(texts.select(
+        F.col("id").alias("other"), F.col("n").alias("m"), F.col("h").alias("g")), "other")
+    # tokens of one hash count as shared
+    shared = F.size(F.array_intersect("h", "g")) + F.col("n") - F.size("h")
+    return both.where(9 * shared >= 4 * (F.col("n") + F.col("m"))).select("id", "other")
 
-def matched(docs: DataFrame, hot: int = HOT_TOKEN) -> DataFrame:
+
+def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id): the later lines of ``pairs`` (id, other) with a Jaccard index of 0.8 or more."""
+    both = pairs.join(texts.select("id", "text"), "id").join(texts.select(F.col("id").alias("other"), F.col("text").alias("_other")), "other")
+    shared = F.size(F.array_intersect("_w", "_v"))
+    return both.select("id", F.array_distinct(_words(F.col("text"))).alias("_w"), F.array_distinct(_words(F.col("_other"))).alias("_v")).where(
+        9 * shared >= 4 * (F.size("_w") + F.size("_v"))).select("id").distinct()
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id): the lines of ``pairs`` (a, b, d) with an earlier similar one among them.
+
+    Each line is compared with its nearest one first, by their bits; only the lines left are compared with the others.
+    """
+    pairs = cut_lineage(pairs.distinct())
+    named = Lookup(_placed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), lines).select(
+        "id", "line", "x", F.col("doc_id").alias("_doc"), F.col("line_no").alias("_no")))
+    texts = cut_lineage(
+        named.join(lines_of(docs).select("doc_id", "line_no", _identity(F.col("line")).alias("line"), F.col("line").alias("text")), "line")
+        .where(F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_no")))
+        .groupBy("id").agg(F.first("text").alias("text")).withColumn("_w", F.array_distinct(_words(F.col("text"))))
+        .select("id", "text", F.size("_w").alias("n"), F.array_distinct(F.transform("_w", lambda w: F.hash(w))).alias("h")))
+    place = F.struct("x", F.col("_doc").alias("doc_id"), F.col("_no").alias("line_no"), "line")
+    at = named.table.select("id", place.alias("at"))
+    placed = pairs.join(at.select(F.col("id").alias("a"), F.col("at").alias("_a")), "a").join(
+        at.select(F.col("id").alias("b"), F.col("at").alias("_b")), "b")
+    turned = F.col("_a") < F.col("_b")
+    placed = cut_lineage(placed.select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("id"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("other"), "d"))
+    nearest = placed.groupBy("id").agg(F.min(F.struct("d", "other")).alias("_n")).select("id", "_n.other")
+    settled = Lookup(_similar(nearest, texts))
+    others = settled.join(placed, "id", "left_anti").select("id", "other")
+    return settled.table.union(_similar(cut_lineage(_near(others, texts)), texts))
+
+
+def matched(docs: DataFrame, hot: int = HOT_KEY) -> DataFrame:
     """(line, x, doc_id, line_no, many, later): the lines that repeat or match an earlier line.
 
-    ``later`` tells whether an earlier different line is similar. Lines that share a prefix token of
-    up to ``hot`` lines are compared in pairs. Of a token in more lines, all lines are first compared with
+    ``later`` tells whether an earlier different line is similar. Lines that share a key of
+    up to ``hot`` lines are compared in pairs. Of a key of more lines, all lines are first compared with
     the earliest one, which settles groups of copies; only the lines left are compared with all before.
     """
     lines = cut_lineage(_prefixed(docs, rarity(docs)))
-    postings = lines.select("line", "x", "doc_id", "line_no", "n", "bits",
-                            F.posexplode("prefix").alias("i", "token"))
-    counts = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
-    busy = Lookup(counts.where(F.col("c") > hot).select("token"))
-    few = busy.join(postings, "token", "left_anti")
-    pairs = few.alias("a").join(few.alias("b"), (F.col("a.token") == F.col("b.token")) & _possible("a", "b"))
-    close = pairs.select(F.col("a.line").alias("line"), F.col("b.line").alias("other"))
-    crowd = cut_lineage(busy.join(postings, "token", "left_semi"))
-    head = crowd.groupBy("token").agg(F.min(F.struct("x", "doc_id", "line_no", "line", "n", "bits", "i")).alias("m")).select(
-        "token", "m.*")
-    led = crowd.alias("a").join(head.alias("b"), (F.col("a.token") == F.col("b.token")) & _possible("a", "b"))
-    settled = cut_lineage(_verified(
-        close.union(led.select(F.col("a.line").alias("line"), F.col("b.line").alias("other"))), docs))
-    open_rows = Lookup(settled).join(crowd, "line", "left_anti")
-    rest = open_rows.alias("a").join(crowd.alias("b"), (F.col("a.token") == F.col("b.token")) & _possible("a", "b"))
-    more = _verified(rest.select(F.col("a.line").alias("line"), F.col("b.line").alias("other")), docs)
-    later = settled.union(more).withColumn("later", F.lit(True))
-    return lines.select("line", "x", "doc_id", "line_no", "many").join(later, "line", "left").where(
-        "many OR later").withColumn("later", F.coalesce("later", F.lit(False)))
+    postings = _postings(lines)
+    # rare tokens have less than 2**PAIRED lines
+    risky = postings.where(F.col("key").bitwiseAND(1) == 0) if hot >= 1 << PAIRED else postings
+    busy = Lookup(risky.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("key"))
+    few = busy.join(postings, "key", "left_anti")
+    pairs = _pairs(few, few, F.col("b.id") < F.col("a.id"))
+    crowd = cut_lineage(busy.join(postings, "key", "left_semi"))
+    places = _placed(crowd.select("id"), lines).select("id", F.struct("x", "doc_id", "line_no", "line").alias("at"))
+    crowd = cut_lineage(crowd.join(places, "id"))
+    head = crowd.groupBy("key").agg(F.min(F.struct("at", "id", "ni", "bits")).alias("m")).select("key", "m.*")
+    earlier = F.col("b.at") < F.col("a.at")
+    settled = Lookup(_verified(pairs.union(_pairs(crowd, head, earlier)), lines, docs))
+    more = _verified(_pairs(settled.join(crowd, "id", "left_anti"), crowd, earlier), lines, docs)
+    later = Lookup(settled.table.union(more).select("id", F.lit(True).alias("later")))
+    return later.join(lines.select("id", "line", "x", "doc_id", "line_no", "many"), "id", "left").where(
+        "many OR later").select("line", "x", "doc_id", "line_no", "many", F.coalesce("later", F.lit(False)).alias("later"))
 
 
 def _flagged(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -139,7 +230,7 @@ def _flagged(docs: DataFrame, found: DataFrame) -> DataFrame:
         "doc_id", "line_no", F.when(F.col("_no").isNull(), False).otherwise(F.col("later") | ~first).alias("removed"))
 
 
-def line_matches(docs: DataFrame, hot: int = HOT_TOKEN) -> DataFrame:
+def line_matches(docs: DataFrame, hot: int = HOT_KEY) -> DataFrame:
     """(doc_id, n_lines, n_removed): per document, its lines with a word and how many of them go.
 
     Lines come in the order of doc_id, NULL last, and their place in the text. A line goes if an
@@ -156,7 +247,7 @@ def line_matches(docs: DataFrame, hot: int = HOT_TOKEN) -> DataFrame:
         F.sum("n_lines").alias("n_lines"), F.sum("n_removed").alias("n_removed"))
 
 
-def without_repeats(docs: DataFrame, hot: int = HOT_TOKEN) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT_KEY) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``; all columns stay."""
     gone = _flagged(docs, matched(docs, hot)).where("removed").groupBy("doc_id").agg(
         F.collect_set("line_no").alias("_gone")).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "_gone")

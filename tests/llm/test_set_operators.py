@@ -212,6 +212,30 @@ def test_lines(spark):
     assert line_dedup.line_matches(table(spark, [])).count() == 0
 
 
+def test_lines_of_frequent_tokens(spark, monkeypatch):
+    """Keys of frequent tokens hold few lines, and pairs, single tokens and both find the same lines."""
+    draw = random.Random(4)
+    rows = []
+    for i in range(60):
+        line = draw.sample([f"w{k}" for k in range(30)], draw.randrange(1, 15))
+        near = [w for w in line if draw.random() < 0.93] + [f"w{draw.randrange(30)}"]
+        rows.append((i, " ".join(line) + "\n\t" + "\x0b".join(near) + " \f", "en", "s"))
+    docs = table(spark, rows)
+    places = [(i, n, set(words(line)), line) for i, text, *_ in rows for n, line in enumerate(text.split("\n"))]
+    removed = Counter(i for i, n, own, line in places if any(
+        (j, m) < (i, n) and (line == text or 9 * len(own & o) >= 4 * (len(own) + len(o))) for j, m, o, text in places))
+    sizes = {}
+    for paired, long in ((0, 320), (0, 9), (9, 320)):
+        monkeypatch.setattr(line_dedup, "PAIRED", paired)
+        monkeypatch.setattr(line_dedup, "LONG", long)
+        for hot in (512, 2):
+            got = {r.doc_id: r.n_removed for r in line_dedup.line_matches(docs, hot).collect()}
+            assert got == {i: removed[i] for i in range(60)}, (paired, long, hot)
+        keys = line_dedup._postings(line_dedup._prefixed(docs, line_dedup.rarity(docs)).where("n > 5")).groupBy("key").count()
+        sizes[paired, long] = keys.agg(F.max("count")).first()[0]
+    assert 2 * sizes[0, 320] < sizes[9, 320]
+
+
 def test_tool_calls(spark):
     call = "conv_id bigint, turn bigint, call_id string, name string, arguments string, after array<string>, level int, position int"
     calls = [
