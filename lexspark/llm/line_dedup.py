@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from lexspark.llm.words import SPACES
 from lexspark.plans.lineage import cut_lineage
 from lexspark.plans.sizing import Lookup
 
-RARITY_BITS = 20
+RARITY_BITS = (16, 22)
 # a token counted 2**PAIRED times or more is looked up together with the next shared one
 PAIRED = 9
 HOT_KEY = 1 << PAIRED
@@ -44,37 +45,40 @@ def lines_of(docs: DataFrame) -> DataFrame:
         F.ltrim("line", F.lit(SPACES)) != "")
 
 
-def rarity(docs: DataFrame) -> Column:
-    """The logarithm of the number of tokens in each of 2**20 buckets of token hashes, as one constant array.
+def rarity(docs: DataFrame) -> Callable[[Column], Column]:
+    """A function of a token's hash: 59 bits of it below four bits of rarity.
 
-    An item holds 16 buckets, four bits each. It orders tokens by rarity in a fixed amount of memory. Tokens of one class go by
+    Rarity is the logarithm of the number of tokens in a bucket of hashes, so it takes a bounded amount of memory: 2**16 to 2**22
+    buckets, of 2**PAIRED tokens on average if that allows it, in one constant array of 16 buckets an item. Tokens of one class go by
     their hash, so the order is total and one for all lines, which is all that the filters need to be exact.
     """
     tokens = docs.select(F.explode(F.split(_plain(F.col("text")), " ")).alias("w")).where("w <> ''")
-    counts = tokens.groupBy(
-        F.xxhash64("w").bitwiseAND((1 << RARITY_BITS) - 1).cast("int").alias("bucket")
-    ).agg(F.floor(F.log2(F.count(F.lit(1)))).alias("rank"))
-    items = (1 << RARITY_BITS) // _SLOTS
-    packed = counts.groupBy(F.col("bucket").bitwiseAND(items - 1).alias("item")).agg(F.bit_or(F.call_function(
-        "shiftleft", F.least("rank", F.lit(_SLOTS - 1)), F.floor(F.col("bucket") / items).cast("int") * 4)).alias("ranks"))
+    counts = cut_lineage(tokens.groupBy(
+        F.xxhash64("w").bitwiseAND((1 << RARITY_BITS[1]) - 1).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("c")))
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    bits = min(max((total >> PAIRED).bit_length(), RARITY_BITS[0]), RARITY_BITS[1])
+    items = (1 << bits) // _SLOTS
+    ranks = counts.groupBy(F.col("bucket").bitwiseAND((1 << bits) - 1).alias("bucket")).agg(
+        F.least(F.floor(F.log2(F.sum("c"))), F.lit(_SLOTS - 1)).alias("rank"))
+    packed = ranks.groupBy(F.col("bucket").bitwiseAND(items - 1).alias("item")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.col("rank"), F.floor(F.col("bucket") / items).cast("int") * 4)).alias("ranks"))
     held = {r["item"]: r["ranks"] for r in packed.collect()}
-    return F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(items)])), "array<bigint>")
+    order = F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(items)])), "array<bigint>")
 
+    def token(h: Column) -> Column:
+        of = F.coalesce(F.get(order, h.bitwiseAND(items - 1).cast("int")), F.lit(0).cast("bigint"))
+        slot = F.shiftrightunsigned(h, items.bit_length() - 3).bitwiseAND(4 * (_SLOTS - 1)).cast("int")
+        rank = F.call_function("shiftrightunsigned", of, slot).bitwiseAND(_SLOTS - 1)
+        return F.shiftleft(rank, 59).bitwiseOR(F.shiftrightunsigned(h, 5))
 
-def _token(h: Column, order: Column) -> Column:
-    """59 bits of a token's hash below the four bits of its rarity."""
-    items = (1 << RARITY_BITS) // _SLOTS
-    ranks = F.coalesce(F.get(order, h.bitwiseAND(items - 1).cast("int")), F.lit(0).cast("bigint"))
-    slot = F.shiftrightunsigned(h, items.bit_length() - 3).bitwiseAND(4 * (_SLOTS - 1)).cast("int")
-    rank = F.call_function("shiftrightunsigned", ranks, slot).bitwiseAND(_SLOTS - 1)
-    return F.shiftleft(rank, 59).bitwiseOR(F.shiftrightunsigned(h, 5))
+    return token
 
 
 def _identity(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def _prefixed(docs: DataFrame, order: Column) -> DataFrame:
+def _prefixed(docs: DataFrame, token: Callable[[Column], Column]) -> DataFrame:
     """(id, line, x, doc_id, line_no, n, bits, prefix, many): every different line, named by its hash.
 
     ``doc_id`` and ``line_no`` are its first place and ``many`` tells whether there are more. Of ``n`` tokens a
@@ -88,7 +92,7 @@ def _prefixed(docs: DataFrame, order: Column) -> DataFrame:
             n.alias("n"),
             F.aggregate("_h", F.lit(0).cast("bigint"), lambda bits, h: bits.bitwiseXOR(
                 F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int")))).alias("bits"),
-            F.slice(F.sort_array(F.transform("_h", lambda h: _token(h, order))), F.lit(1),
+            F.slice(F.sort_array(F.transform("_h", token)), F.lit(1),
                     F.floor(n / 5).cast("int") + 2).alias("prefix"),
         ).alias("of"))
     return rows.groupBy("line").agg(
@@ -152,21 +156,12 @@ def _placed(ids: DataFrame, lines: DataFrame) -> DataFrame:
     return Lookup(ids.distinct()).join(lines.select("id", "line", "x", "doc_id", "line_no"), "id")
 
 
-def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, other): ``pairs`` without most of those that cannot be similar, by 32-bit hashes of their tokens."""
-    both = pairs.join(texts.select("id", "n", "h"), "id").join(texts.select(
-        F.col("id").alias("other"), F.col("n").alias("m"), F.col("h").alias("g")), "other")
-    # tokens of one hash count as shared
-    shared = F.size(F.array_intersect("h", "g")) + F.col("n") - F.size("h")
-    return both.where(9 * shared >= 4 * (F.col("n") + F.col("m"))).select("id", "other")
-
-
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(id): the later lines of ``pairs`` (id, other) with a Jaccard index of 0.8 or more."""
-    both = pairs.join(texts.select("id", "text"), "id").join(texts.select(F.col("id").alias("other"), F.col("text").alias("_other")), "other")
-    shared = F.size(F.array_intersect("_w", "_v"))
-    return both.select("id", F.array_distinct(_words(F.col("text"))).alias("_w"), F.array_distinct(_words(F.col("_other"))).alias("_v")).where(
-        9 * shared >= 4 * (F.size("_w") + F.size("_v"))).select("id").distinct()
+    both = pairs.alias("p").join(texts.alias("a"), F.col("p.id") == F.col("a.id")).join(
+        texts.alias("b"), F.col("p.other") == F.col("b.id"))
+    shared = F.size(F.array_intersect(_words(F.col("a.text")), _words(F.col("b.text"))))
+    return both.where(9 * shared >= 4 * (F.col("a.n") + F.col("b.n"))).select("p.id").distinct()
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
@@ -180,8 +175,8 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
     texts = cut_lineage(
         named.join(lines_of(docs).select("doc_id", "line_no", _identity(F.col("line")).alias("line"), F.col("line").alias("text")), "line")
         .where(F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_no")))
-        .groupBy("id").agg(F.first("text").alias("text")).withColumn("_w", F.array_distinct(_words(F.col("text"))))
-        .select("id", "text", F.size("_w").alias("n"), F.array_distinct(F.transform("_w", lambda w: F.hash(w))).alias("h")))
+        .groupBy("id").agg(F.first("text").alias("text"))
+        .select("id", "text", F.size(F.array_distinct(_words(F.col("text")))).alias("n")))
     place = F.struct("x", F.col("_doc").alias("doc_id"), F.col("_no").alias("line_no"), "line")
     at = named.table.select("id", place.alias("at"))
     placed = pairs.join(at.select(F.col("id").alias("a"), F.col("at").alias("_a")), "a").join(
@@ -192,7 +187,7 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
     nearest = placed.groupBy("id").agg(F.min(F.struct("d", "other")).alias("_n")).select("id", "_n.other")
     settled = Lookup(_similar(nearest, texts))
     others = settled.join(placed, "id", "left_anti").select("id", "other")
-    return settled.table.union(_similar(cut_lineage(_near(others, texts)), texts))
+    return settled.table.union(_similar(others, texts))
 
 
 def matched(docs: DataFrame, hot: int = HOT_KEY) -> DataFrame:
