@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexspark import flows
-from lexspark.operators import corpus, ranking
+from lexspark.operators import corpus, ranking, sequences, vectors, vocabulary
 from lexspark.plans.sizing import Lookup, spread
 
 STOP = ["the", "a"]
@@ -65,3 +65,30 @@ def test_tables_of_many_files_are_not_shuffled(spark, tmp_path):
     few = str(tmp_path / "few")
     spark.range(100).repartition(1).write.parquet(few)
     assert spread(spark.read.parquet(few)).select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_ids_of_a_large_vocabulary(spark):
+    rows = spark.createDataFrame(
+        [("a", ["x", "y", None, "é"]), ("a", ["y"]), ("b", []), ("c", None), (None, ["x"]), (None, ["q", "q"])],
+        "unique_id string, tokens array<string>").repartition(3)
+    known = spark.createDataFrame([("x", 1), ("y", 2), ("é", 3), ("[UNK]", 9), (None, 4), ("z", None)], "token string, id bigint")
+    twice = known.unionByName(spark.createDataFrame([("x", 7)], "token string, id bigint"))
+    for vocabulary in (known, known.where("token <> '[UNK]'"), twice):
+        near = sequences.token_ids(rows, "unique_id", vocabulary)
+        far = sequences.token_ids(rows, "unique_id", vocabulary, limit=0)
+        assert far.dtypes == near.dtypes
+        assert as_rows(far) == as_rows(near)
+    plan = sequences.token_ids(rows, "unique_id", known, limit=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("words", [["bank", "river", "i̇stanbul", None, "bank"], []])
+def test_windows_of_a_large_vocabulary(spark, words):
+    sents = parsed(spark).select("doc_id", "sent_id", "words")
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    near = vocabulary.keep_vocabulary(vectors.context_windows(sents), table)
+    far = vocabulary.keep_vocabulary_tokens(sents, Lookup(table, limit=-1), vectors.context_windows)
+    same = vocabulary.keep_vocabulary_tokens(sents, table, vectors.context_windows)
+    columns = sorted(near.columns)
+    assert as_rows(far.select(*columns)) == as_rows(near.select(*columns)) == as_rows(same.select(*columns))
+    assert "Join" not in far._jdf.queryExecution().optimizedPlan().toString()
